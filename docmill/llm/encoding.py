@@ -22,30 +22,53 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
 
 
 class WordEncoder:
-    """Encodes whole UTF-8 texts to little-endian unsigned 32-bit ids."""
+    """Encodes whole UTF-8 texts to little-endian unsigned 32-bit ids.
+
+    The memo has two generations: when the younger is full it becomes the elder,
+    and words that recur move back, so common words are never encoded again.
+    """
 
     def __init__(self, path: str, memo_words: int = MEMO_WORDS):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.memo: dict[bytes, bytes] = {}
+        self.elder: dict[bytes, bytes] = {}
         self.memo_words = memo_words
+        self.mark = "<|startoftext|>"
+        self.mark_id = self.tokenizer.token_to_id(self.mark)
 
     def encode(self, text: bytes) -> bytes:
         words = text.split()  # ASCII white space
-        memo = self.memo
         try:
-            return b"".join([memo[w] for w in words])
+            return b"".join([self.memo[w] for w in words])
         except KeyError:
-            new = list({w for w in words if w not in memo})
-        if len(memo) + len(new) > self.memo_words:
-            memo.clear()
-            new = list(set(words))
-        for part in range(0, len(new), 20_000):
-            batch = new[part : part + 20_000]
-            for word, found in zip(batch, self.tokenizer.encode_batch([w.decode() for w in batch], add_special_tokens=False), strict=True):
-                memo[word] = np.asarray(found.ids, "<u4").tobytes()
-        return b"".join([memo[w] for w in words])
+            self._learn({w for w in words if w not in self.memo}, set(words))
+        return b"".join([self.memo[w] for w in words])
+
+    def _learn(self, new: set[bytes], needed: set[bytes]) -> None:
+        if len(self.memo) + len(new) > self.memo_words:
+            self.elder, self.memo, new = self.memo, {}, needed
+        memo, elder = self.memo, self.elder
+        rest = []
+        for w in new:
+            if w in elder:
+                memo[w] = elder[w]
+            else:
+                rest.append(w)
+        mark = self.mark.encode()
+        if self.mark_id is None or any(mark in w for w in rest):
+            for w in rest:
+                memo[w] = np.asarray(self.tokenizer.encode(w.decode(), add_special_tokens=False).ids, "<u4").tobytes()
+            return
+        for part in range(0, len(rest), 5000):  # many words in one call, told apart by a token that none of them holds
+            batch = rest[part : part + 5000]
+            ids = np.asarray(self.tokenizer.encode(self.mark.join([w.decode() for w in batch]), add_special_tokens=False).ids, "<u4")
+            cuts = np.flatnonzero(ids == self.mark_id)
+            raw, at = ids.tobytes(), 0
+            for w, cut in zip(batch, [*cuts.tolist(), len(ids)], strict=True):
+                memo[w] = raw[at * 4 : cut * 4]
+                at = cut + 1
 
 
 _ENCODERS: dict[str, WordEncoder] = {}

@@ -1,7 +1,7 @@
 """Packing along a space-filling curve.
 
-A document's vector is the mean of fixed pseudo-random projections of its token
-ids into a few dimensions (a hashed bag of tokens).  Each coordinate becomes an
+A document's vector is its bag of token ids, hashed to ``HASHED`` counts, of unit
+length, under a fixed pseudo-random projection into a few dimensions.  Each coordinate becomes an
 integer through the normal distribution function, the integers give a Hilbert
 key, documents are range-sorted by that key, and every range is cut, in curve
 order, into sequences of ``length`` tokens.  Neighbours on the curve, which are
@@ -33,12 +33,12 @@ from .common import Workspace, load, text_or_empty
 from .encoding import END_ID, encoder, vocabulary_path
 
 LENGTH = 2048
-DIMENSIONS, BITS, SEED = 4, 12, 20_240
+HASHED, DIMENSIONS, BITS, SEED = 1024, 4, 12, 20_240
 
 
-def projections(n_ids: int, dimensions: int = DIMENSIONS, seed: int = SEED) -> np.ndarray:
-    """A fixed random direction for every token id."""
-    return np.random.default_rng(seed).standard_normal((n_ids, dimensions)).astype(np.float32)
+def projections(n_counts: int, dimensions: int = DIMENSIONS, seed: int = SEED) -> np.ndarray:
+    """A fixed random direction for every hashed count."""
+    return np.random.default_rng(seed).standard_normal((n_counts, dimensions)).astype(np.float32)
 
 
 def grid(vector: np.ndarray, bits: int = BITS) -> list[int]:
@@ -78,18 +78,17 @@ def hilbert_key(point: list[int], bits: int = BITS) -> int:
 def _encode(vocabulary: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, end = encoder(vocabulary), np.asarray([END_ID], "<u4").tobytes()
-        table = projections(own.tokenizer.get_vocab_size() + 1)
+        table, narrow = projections(HASHED), own.tokenizer.get_vocab_size() + 1 <= 65536
         pack = zstandard.ZstdCompressor(level=1).compress
         for batch in batches:
             keys, blobs, sizes = [], [], []
             for text in batch.column(1).cast(pa.binary()).to_pylist():
                 ids = own.encode(text) + end
                 found = np.frombuffer(ids, "<u4")
-                some = np.bincount(found)
-                at = np.flatnonzero(some)
-                vector = some[at].astype(np.float32) @ table[at] / math.sqrt(float((some[at].astype(np.float64) ** 2).sum()))
+                counts = np.bincount(found & (HASHED - 1), minlength=HASHED).astype(np.float32)
+                vector = counts @ table / np.sqrt(counts @ counts)
                 keys.append(hilbert_key(grid(vector)))
-                blobs.append(pack(found.astype("<u2").tobytes() if len(table) <= 65536 else ids))
+                blobs.append(pack(found.astype("<u2").tobytes() if narrow else ids))
                 sizes.append(len(found))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.int64()), pa.array(sizes, pa.int64()), pa.array(blobs, pa.binary())], names=["doc_id", "curve", "n", "ids"])
 
