@@ -63,7 +63,7 @@ def identifier(reference: Column, title: Column) -> Column:
 
 
 def joined_description(parts: Column) -> Column:
-    return F.array_join(F.filter(F.transform(parts, F.trim), lambda x: x != ""), " ")
+    return F.array_join(F.filter(F.transform(parts, lambda x: F.trim(x)), lambda x: x != ""), " ")
 
 
 def escaped(text: Column) -> Column:
@@ -94,7 +94,7 @@ def money_amounts(text: Column, lenient: bool = False) -> Column:
 
 
 def representatives(text: Column) -> Column:
-    return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(REPRESENTED), F.lit(1)), F.trim))
+    return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(REPRESENTED), F.lit(1)), lambda x: F.trim(x)))
 
 
 def without_representatives(text: Column) -> Column:
@@ -125,7 +125,7 @@ def chair(members: Column) -> Column:
 def short_dates(text: Column) -> Column:
     """Valid D/M/YYYY or D-M-YYYY dates in order."""
     found = F.regexp_extract_all(text, F.lit(SHORT_DATE), F.lit(1))
-    return F.filter(F.transform(found, lambda d: F.try_to_date(F.replace(d, F.lit("-"), F.lit("/")), F.lit("d/M/y"))), lambda d: d.isNotNull())
+    return F.filter(F.transform(found, lambda d: F.try_to_date(F.replace(d, F.lit("-"), F.lit("/")), "d/M/y")), lambda d: d.isNotNull())
 
 
 def last_short_date(text: Column) -> Column:
@@ -136,8 +136,8 @@ def any_date(text: Column) -> Column:
     """The first long date ('23rd of June 2026'; null if it is no date), else the first short one if valid."""
     long = rf"(?i)\b([0-9]{{1,2}})(?:st|nd|rd|th)?\s+(?:of\s+)?({'|'.join(MONTHS)})\s+([0-9]{{4}})\b"
     month = F.array_position(F.array(*map(F.lit, MONTHS)), F.lower(F.regexp_extract(text, long, 2)))
-    parsed = F.try_to_date(F.concat_ws("/", F.regexp_extract(text, long, 1), month, F.regexp_extract(text, long, 3)), F.lit("d/M/y"))
-    short = F.try_to_date(F.replace(F.regexp_extract(text, SHORT_DATE, 1), F.lit("-"), F.lit("/")), F.lit("d/M/y"))
+    parsed = F.try_to_date(F.concat_ws("/", F.regexp_extract(text, long, 1), month, F.regexp_extract(text, long, 3)), "d/M/y")
+    short = F.try_to_date(F.replace(F.regexp_extract(text, SHORT_DATE, 1), F.lit("-"), F.lit("/")), "d/M/y")
     return F.when(F.regexp_like(text, F.lit(long)), parsed).otherwise(short)
 
 
@@ -145,7 +145,7 @@ def decision_date(value: Column) -> Column:
     """D/M/YYYY, else YYYY-MM-DD, else null; invalid dates are null."""
     site = F.when(F.regexp_like(value, F.lit(r"^\s*[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}\s*$")), F.trim(value))
     iso = F.when(F.regexp_like(value, F.lit(r"^\s*[0-9]{4}-[0-9]{2}-[0-9]{2}\s*$")), F.trim(value))
-    return F.coalesce(F.try_to_date(site, F.lit("d/M/y")), F.try_to_date(iso, F.lit("yyyy-MM-dd")))
+    return F.coalesce(F.try_to_date(site, "d/M/y"), F.try_to_date(iso, "yyyy-MM-dd"))
 
 
 def wall_clock(seconds: Column) -> Column:

@@ -13,8 +13,10 @@ def partitions(spark: SparkSession, start: date, end: date, size: str = "monthly
     unit, step, last = {"monthly": ("month", "1 month", "last_day(p)"), "weekly": ("week", "7 day", "date_add(p, 6)"), "daily": ("day", "1 day", "p")}.get(size) or (None, None, None)
     if unit is None:
         raise ValueError(f"unknown partition size {size!r}")
+    if end < start:
+        return spark.createDataFrame([], "partition_date date, query_start date, query_end date")
     first = "s" if unit == "day" else f"trunc(s, '{unit}')"
-    span = spark.range(1).select(F.lit(start).cast("date").alias("s"), F.lit(end).cast("date").alias("e")).where("s <= e")
+    span = spark.range(1).select(F.lit(start).cast("date").alias("s"), F.lit(end).cast("date").alias("e"))
     each = span.select("s", "e", F.expr(f"explode(sequence({first}, e, interval {step})) as p"))
     return each.select(F.col("p").alias("partition_date"), F.greatest("p", "s").alias("query_start"), F.expr(f"least({last}, e)").alias("query_end"))
 

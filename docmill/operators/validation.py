@@ -18,7 +18,7 @@ def errors(min_content_bytes: int = 1024) -> Column:
     fields += [F.when(F.col("body_id").isNotNull() & F.col("body_id").try_cast("int").isNull(), "body_id:type")]
     fields += [shape("identifier", IDENTIFIER), shape("file_hash", SHA), shape("partition_date", ISO), shape("partition_end", ISO)]
     found = F.array_compact(F.array(*fields))
-    end = F.try_to_date("partition_end", F.lit("yyyy-MM-dd"))
+    end = F.try_to_date("partition_end", "yyyy-MM-dd")
     record = F.when(F.col("file_size") < min_content_bytes, F.array(F.lit("record:too_small"))).when(decision_date(F.col("date")) > end, F.array(F.lit("record:date_after_partition")))
     return F.when(F.size(found) > 0, found).otherwise(F.coalesce(record, F.array().cast("array<string>")))
 

@@ -1,4 +1,5 @@
 """Named queries of the library, each with the SQL that gives the same rows."""
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from .catalog import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES"]
