@@ -67,9 +67,12 @@ def write_bytes(uri: str, data: bytes) -> None:
 
 def train_dictionary(spark: SparkSession, docs: DataFrame, vocabulary: str) -> bytes:
     """From the sample with the smallest hashes; too little text for training gives a raw dictionary of it."""
-    able = docs.select(text_or_empty(docs).alias("text")).where((F.octet_length("text") <= SAMPLE_BYTES) & (F.octet_length("text") > 0))
+    able = docs.select(text_or_empty(docs).alias("text")).where((F.octet_length("text") <= SAMPLE_BYTES) & (F.octet_length("text") > 0)).withColumn("h", F.xxhash64("text"))
+    # the cut among the hashes first, so that no task sends texts that are not in the sample
+    cut = able.select("h").distinct().orderBy("h").limit(SAMPLE_DOCS).agg(F.max("h")).first()[0]
     own = encoder(vocabulary)
-    sample = [own.encode(r.text.encode()) for r in able.orderBy(F.xxhash64("text"), "text").limit(SAMPLE_DOCS).collect()]
+    chosen = [] if cut is None else able.where(F.col("h") <= cut).groupBy("h").agg(F.min("text").alias("text")).collect()
+    sample = [own.encode(r.text.encode()) for r in sorted(chosen, key=lambda r: r.h)]
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, sample).as_bytes()
     except (zstandard.ZstdError, ValueError):
