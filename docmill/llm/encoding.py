@@ -2,17 +2,65 @@
 
 The vocabulary's pre-tokenizer never joins characters across white space, and its
 normalizer never looks across it, so a text's ids are its words' ids in order.
-Words recur, and ids of a word are kept in a memo of bounded size; words that it
-lacks are encoded by the library in one batch.
+Words recur, and ids of a word are kept in a memo of bounded size.  A word that it
+lacks is normalised and cut into pieces here where its characters allow a plain
+rule (Latin letters, digits and signs below U+0180: composed already, lower-cased
+one by one); pieces have a memo too, and the library's model encodes the pieces
+that it lacks in one batch.  Other words go through the whole library.
 """
 
 from __future__ import annotations
 
+import codecs
+import json
+import re
+
 import numpy as np
 
 END_ID = 1
 VOCABULARY = "word_bpe_49k.json"
 MEMO_WORDS = 400_000
+GROUP_BYTES = 1 << 17
+
+#: The vocabulary's normalizer and pre-tokenizer for which the plain rule holds.
+NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+WORD_END = "</w>"
+
+#: A character beyond the plain rule: controls, white space other than ASCII, and all from U+0180; or the start of a special token.
+BEYOND = re.compile("[^\x20-\x7e\xa1-\u017f]|<\\|")
+#: SPLIT in lower case below U+0180 (lower-casing may add U+0307, which is no letter).
+PIECE = re.compile("'(?:s|t|re|ve|m|ll|d)|[a-z\xaa\xb5\xba\xdf-\xf6\xf8-\u017f]+|[0-9\xb2\xb3\xb9\xbc-\xbe]|[^\x200-9a-z\xaa\xb2\xb3\xb5\xb9\xba\xbc-\xbe\xdf-\xf6\xf8-\u017f]+")
+
+
+def _byte_letters() -> str:
+    """The letter of each byte in byte-level vocabularies: visible ones stand for themselves, others follow from U+0100; here a space stays one."""
+    letters, following = [], 256
+    for b in range(256):
+        if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255:
+            letters.append(chr(b))
+        else:
+            letters.append(chr(following))
+            following += 1
+    letters[32] = " "
+    return "".join(letters)
+
+
+BYTE_LETTERS = _byte_letters()
+
+
+def _piece_model(spec: dict):
+    """The model alone, on pieces between spaces, and which ids end a piece; None if the vocabulary follows other rules."""
+    from tokenizers import Tokenizer
+
+    split = [p.get("pattern", {}).get("Regex") for p in (spec.get("pre_tokenizer") or {}).get("pretokenizers", [])]
+    if (spec.get("normalizer") or {}).get("normalizers") != NORMALIZERS or split != [SPLIT, None] or spec["model"].get("end_of_word_suffix") != WORD_END:
+        return None
+    vocab = spec["model"]["vocab"]
+    ends = np.zeros(max(vocab.values()) + 1, bool)
+    ends[[i for token, i in vocab.items() if token.endswith(WORD_END)]] = True
+    bare = spec | {"normalizer": None, "pre_tokenizer": {"type": "WhitespaceSplit"}, "added_tokens": []}
+    return Tokenizer.from_str(json.dumps(bare)), ends
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
@@ -37,18 +85,37 @@ class WordEncoder:
         self.memo_words = memo_words
         self.mark = "<|startoftext|>"
         self.mark_id = self.tokenizer.token_to_id(self.mark)
+        self.plain = _piece_model(json.loads(self.tokenizer.to_str()))
+        self.pieces: dict[str, bytes] = {}
+        self.elder_pieces: dict[str, bytes] = {}
 
     def encode(self, text: bytes) -> bytes:
-        words = text.split()  # ASCII white space
-        try:
-            return b"".join([self.memo[w] for w in words])
-        except KeyError:
-            self._learn({w for w in words if w not in self.memo}, set(words))
-        return b"".join([self.memo[w] for w in words])
-
-    def _learn(self, new: set[bytes], needed: set[bytes]) -> None:
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: list[bytes]) -> list[bytes]:
+        """Ids of each text; the words that the memo lacks are learnt together for about ``GROUP_BYTES`` of texts."""
+        out, group, size = [], [], 0
+        for text in texts:
+            group.append(text)
+            size += len(text)
+            if size >= GROUP_BYTES:
+                out += self._encode_group(group)
+                group, size = [], 0
+        return out + self._encode_group(group)
+
+    def _encode_group(self, texts: list[bytes]) -> list[bytes]:
+        split = [text.split() for text in texts]  # ASCII white space
+        found = [list(map(self.memo.get, words)) for words in split]
+        lacking = [i for i, ids in enumerate(found) if None in ids]
+        if lacking:
+            self._learn({w for i in lacking for w, ids in zip(split[i], found[i], strict=True) if ids is None}, split)
+            for i in lacking:
+                found[i] = map(self.memo.__getitem__, split[i])
+        return [b"".join(ids) for ids in found]
+
+    def _learn(self, new: set[bytes], split: list[list[bytes]]) -> None:
         if len(self.memo) + len(new) > self.memo_words:
-            self.elder, self.memo, new = self.memo, {}, needed
+            self.elder, self.memo, new = self.memo, {}, set().union(*split)
         memo, elder = self.memo, self.elder
         rest = []
         for w in new:
@@ -56,6 +123,11 @@ class WordEncoder:
                 memo[w] = elder[w]
             else:
                 rest.append(w)
+        if self.plain:
+            beyond = []
+            for part in range(0, len(rest), 20_000):
+                beyond += self._learn_plain(rest[part : part + 20_000])
+            rest = beyond
         mark = self.mark.encode()
         if self.mark_id is None or any(mark in w for w in rest):
             for w in rest:
@@ -70,6 +142,36 @@ class WordEncoder:
                 memo[w] = raw[at * 4 : cut * 4]
                 at = cut + 1
 
+    def _learn_plain(self, words: list[bytes]) -> list[bytes]:
+        """Encode words by the plain rule; returns those beyond it."""
+        texts, beyond = b" ".join(words).decode().split(" ") if words else [], []
+        if BEYOND.search(" ".join(texts)):
+            beyond = [w for w, x in zip(words, texts, strict=True) if BEYOND.search(x)]
+            within = [(w, x) for w, x in zip(words, texts, strict=True) if not BEYOND.search(x)]
+            words, texts = [w for w, _ in within], [x for _, x in within]
+        cut = list(map(PIECE.findall, " ".join(texts).lower().split(" "))) if words else []
+        needed = set().union(*cut)
+        if len(self.pieces) + len(needed) > self.memo_words:
+            self.elder_pieces, self.pieces = self.pieces, {}
+        pieces, elder, new = self.pieces, self.elder_pieces, []
+        for p in needed - pieces.keys():
+            if p in elder:
+                pieces[p] = elder[p]
+            else:
+                new.append(p)
+        if new:
+            model, ends = self.plain
+            ids = np.asarray(model.encode_batch_fast([codecs.charmap_decode(" ".join(new).encode(), "strict", BYTE_LETTERS)[0]], add_special_tokens=False)[0].ids, "<u4")
+            cuts = (np.flatnonzero(ends[ids]) + 1) * 4
+            raw, at = ids.tobytes(), 0
+            for p, end in zip(new, cuts.tolist(), strict=True):
+                pieces[p] = raw[at:end]
+                at = end
+        memo = self.memo
+        for w, c in zip(words, cut, strict=True):
+            memo[w] = pieces[c[0]] if len(c) == 1 else b"".join([pieces[p] for p in c])
+        return beyond
+
 
 _ENCODERS: dict[str, WordEncoder] = {}
 

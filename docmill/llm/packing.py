@@ -82,8 +82,8 @@ def _encode(vocabulary: str):
         pack = zstandard.ZstdCompressor(level=1).compress
         for batch in batches:
             keys, blobs, sizes = [], [], []
-            for text in batch.column(1).cast(pa.binary()).to_pylist():
-                ids = own.encode(text) + end
+            for ids in own.encode_all(batch.column(1).cast(pa.binary()).to_pylist()):
+                ids += end
                 found = np.frombuffer(ids, "<u4")
                 counts = np.bincount(found & (HASHED - 1), minlength=HASHED).astype(np.float32)
                 vector = counts @ table / np.sqrt(counts @ counts)

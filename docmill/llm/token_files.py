@@ -116,13 +116,13 @@ def _shard_writer(root: str, vocabulary: str, dictionary: bytes, level: int):
         end = np.asarray([END_ID], "<u4").tobytes()
         try:
             for batch in batches:
-                for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist(), strict=True):
+                for doc_id, ids in zip(batch.column(0).to_pylist(), own.encode_all(batch.column(1).cast(pa.binary()).to_pylist()), strict=True):
                     if out is None:
                         system, path = store(uri)
                         system.create_dir(path.rsplit("/", 1)[0], recursive=True)
                         out = system.open_output_stream(path)
                         out.write(MAGIC + digest)
-                    ids = own.encode(text) + end
+                    ids += end
                     frame = pack(ids)
                     out.write(frame)
                     index.append((NO_ID if doc_id is None else doc_id, at, len(frame), len(ids) // 4))

@@ -335,3 +335,20 @@ def test_pipeline_stages_keep_columns_and_drop_copies(spark, tmp_path):
         docs = spark.read.parquet(f"{tmp_path}/{name}")
     assert {r.doc_id for r in docs.collect()} == set(range(40))
     assert {r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path)).collect()} == set(range(40))
+
+
+def test_encoder_equals_library_on_odd_texts():
+    import random
+
+    import numpy as np
+    from tokenizers import Tokenizer
+
+    from docmill.llm.encoding import WordEncoder, vocabulary_path
+
+    whole, own = Tokenizer.from_file(vocabulary_path()), WordEncoder(vocabulary_path(), memo_words=500)
+    letters = [chr(c) for c in range(1, 0x180)] + list("'''sdtrevml  ..,0123") + ["́", "İ", "Σ", "Ɓ", "<|", "<|startoftext|>", "\x85", "\t", "\x00", "日", "\U0001f600", "</w>"]
+    r = random.Random(3)
+    texts = ["", " \n ", "\x00"] + ["".join(r.choice(letters) for _ in range(r.randint(0, 40))) for _ in range(2000)]
+    got = own.encode_all([x.encode() for x in texts])
+    for x, ids in zip(texts, got, strict=True):
+        assert ids == np.asarray(whole.encode(x, add_special_tokens=False).ids, "<u4").tobytes(), repr(x)
