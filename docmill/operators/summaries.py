@@ -32,3 +32,15 @@ def reconcile(parts: list[DataFrame], keys: tuple[str, ...] = ("body", "partitio
 
 def per_minute(n: Column, seconds: Column) -> Column:
     return F.round(n * 60 / F.nullif(seconds, F.lit(0)), 1)
+
+
+def markdown_summary(label: str, totals: dict[str, int], seconds: float | None, per_body: dict[str, int] | None = None) -> str:
+    """A run's collected totals as Markdown; an unknown or zero wall time gives ``?`` for the rate, bodies come by falling count, then name."""
+    scraped = totals.get("scraped", 0)
+    rate = f"{scraped * 60 / seconds:.1f}" if seconds else "?"
+    wall = "?" if seconds is None else f"{seconds:.3f}"
+    counts = ", ".join(f"{k}={v}" for k, v in sorted(totals.items()) if v)
+    lines = [f"# {label}", "", "| wall (s) | records/min | counts |", "|-|-|-|", f"| {wall} | {rate} | {counts} |"]
+    if per_body:
+        lines += ["", "| body | records |", "|-|-|", *(f"| {k} | {v} |" for k, v in sorted(per_body.items(), key=lambda x: (-x[1], x[0])))]
+    return "\n".join(lines) + "\n"

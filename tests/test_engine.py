@@ -152,3 +152,12 @@ def test_merge_keeps_insert_only_columns(spark):
     old = spark.createDataFrame([(1, "a", 1), (2, "b", 1)], "k int, v string, first int")
     new = spark.createDataFrame([(2, "B", 9), (3, None, 9)], "k int, v string, first int")
     assert sorted(map(tuple, changes.merge(old, new, "k", ("first",)).collect())) == [(1, "a", 1), (2, "B", 1), (3, None, 9)]
+
+
+def test_markdown_summary():
+    from docmill.operators.summaries import markdown_summary
+
+    text = markdown_summary("run", {"scraped": 30, "failed": 0, "found": 31}, 60.0, {"b": 1, "a": 1, "c": 28})
+    assert "| 60.000 | 30.0 | found=31, scraped=30 |" in text
+    assert text.index("| c | 28 |") < text.index("| a | 1 |") < text.index("| b | 1 |")
+    assert "| ? | ? |  |" in markdown_summary("none", {}, None)
