@@ -305,6 +305,33 @@ def test_chains_follow_the_order_of_both_texts():
         assert tree.top(n)[0] == max(values[:n])
 
 
+def test_a_second_passage_chains_after_a_long_first_one():
+    first, second = [(0, 0, 120)], [(300, 300, 5), (309, 310, 5), (320, 321, 5), (331, 332, 5)]
+    assert sorted(passages.chains(first + second)) == [first, second]
+    # plain: the best predecessor inside the window, tried one by one
+    rng = random.Random(2)
+    for _ in range(60):
+        parts = sorted({(rng.randrange(400), rng.randrange(400), rng.randint(5, 60)) for _ in range(40)})
+        best = {}
+        for p, q, n in parts:
+            before = [best[x] - 0.05 * (p + q - x[0] - x[1] - 2 * x[2]) for x in best if max(p - x[0], q - x[1]) - x[2] <= 64 and x[0] + x[2] <= p and x[1] + x[2] <= q]
+            best[p, q, n] = n + max([0.0, *before])
+        chain = passages.chains(parts)[0]
+        cost = sum(b[0] + b[1] - a[0] - a[1] - 2 * a[2] for a, b in zip(chain, chain[1:]))
+        assert sum(n for *_, n in chain) - 0.05 * cost == pytest.approx(max(best.values()))
+
+
+def test_two_passages_in_one_pair(spark):
+    rng = random.Random(12)
+    odd = lambda n: " ".join("".join(rng.choices("abcdefgh", k=8)) for _ in range(n))
+    rows = []
+    for i in range(0, 40, 2):
+        one, two = odd(150), odd(60)
+        rows += [(i + k, " ".join([odd(20), one, odd(100), two, odd(20)])) for k in (0, 1)]
+    got = passages.shared_passages(spark, spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.start, r.stop) for r in got) == sorted((i, *x) for i in range(1, 40, 2) for x in ((20, 170), (270, 330)))
+
+
 def test_mixing_matches_targets(spark, empty):
     rng = random.Random(6)
     common = [f"w{k}" for k in range(150)]
