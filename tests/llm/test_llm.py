@@ -332,6 +332,21 @@ def test_two_passages_in_one_pair(spark):
     assert sorted((r.doc_id, r.start, r.stop) for r in got) == sorted((i, *x) for i in range(1, 40, 2) for x in ((20, 170), (270, 330)))
 
 
+@pytest.mark.parametrize("holders", [1, 12])  # 12: every seed of the passage is frequent
+def test_passage_whose_seeds_first_occur_elsewhere(spark, holders):
+    rng = random.Random(13)
+    odd = lambda n: ["".join(rng.choices("abcdefgh", k=8)) for _ in range(n)]
+    rows, expected = [], set()
+    for i in range(10):
+        shared = odd(80)
+        for j in range(holders):  # each too short to be a passage
+            rows += [(1000 * i + 2 * j, odd(30) + shared[:40] + odd(30)), (1000 * i + 2 * j + 1, odd(30) + shared[40:] + odd(30))]
+        rows += [(1000 * i + k, odd(20) + shared + odd(20)) for k in (500, 501)]
+        expected.add((1000 * i + 501, 20, 100, 1000 * i + 500))
+    got = passages.shared_passages(spark, spark.createDataFrame([(d, " ".join(x)) for d, x in rows], "doc_id long, text string")).collect()
+    assert {(r.doc_id, r.start, r.stop, r.other_id) for r in got} == expected
+
+
 def test_mixing_matches_targets(spark, empty):
     rng = random.Random(6)
     common = [f"w{k}" for k in range(150)]
