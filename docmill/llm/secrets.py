@@ -3,7 +3,9 @@
 Three kinds of secrets are found by fixed patterns in the text as it stands (the
 base spans).  A worklist then unwraps encodings: URL escapes and Unicode escapes
 are undone over the whole layer, base64 runs are decoded on their own, and what
-they hold is decompressed if it is a gzip, zlib, bzip2, xz or zstandard stream.
+they hold is decompressed, in all its members and frames, as long as it is a gzip,
+zlib, bzip2, xz or zstandard stream.  A layer is scanned if it is UTF-8, control
+characters or not.
 Every layer that is new is scanned and unwrapped again, until nothing new
 appears; a layer whose text was seen before is a cycle and is dropped.  Each
 layer maps its characters to the characters of its parent, so a finding in any
@@ -43,6 +45,7 @@ URL_ESCAPES = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 UNICODE_ESCAPES = re.compile(r"(?:\\u\{[0-9A-Fa-f]{1,6}\}|\\u[0-9A-Fa-f]{4}|\\U[0-9A-Fa-f]{8}|\\x[0-9A-Fa-f]{2}|&#[0-9]{1,7};|&#[xX][0-9A-Fa-f]{1,6};)+")
 UNICODE_ONE = re.compile(r"\\u\{([0-9A-Fa-f]+)\}|\\u([0-9A-Fa-f]{4})|\\U([0-9A-Fa-f]{8})|\\x([0-9A-Fa-f]{2})|&#([0-9]+);|&#[xX]([0-9A-Fa-f]+);")
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}(?:\r?\n[A-Za-z0-9+/_-]{16,})*(?:\r?\n[A-Za-z0-9+/_-]{1,15}(?==))?={0,2}")
+CONTROL = re.compile(r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f]")
 MAX_LAYER = 1 << 28
 
 Span = tuple[int, int]
@@ -113,31 +116,67 @@ def _unicode(m: re.Match) -> list[tuple[str, int, int]]:
     return found
 
 
+def _member(data: bytes, room: int) -> tuple[bytes, bytes] | None:
+    """The content of the stream at the start of ``data``, up to ``room`` bytes, and what follows the stream."""
+    if data[:2] == b"\x1f\x8b" or data[:1] == b"\x78" and int.from_bytes(data[:2]) % 31 == 0:
+        stream = zlib.decompressobj(47)  # gzip or zlib by the header
+    elif data[:3] == b"BZh":
+        stream = bz2.BZ2Decompressor()
+    elif data[:6] == b"\xfd7zXZ\0":
+        stream = lzma.LZMADecompressor()
+    elif data[:4] == b"\x28\xb5\x2f\xfd":
+        return _zstd_frame(data, room)
+    elif len(data) >= 8 and 0x50 <= data[0] <= 0x5F and data[1:4] == b"\x2a\x4d\x18":  # a zstandard frame to skip
+        return b"", data[8 + int.from_bytes(data[4:8], "little") :]
+    else:
+        return None
+    content = stream.decompress(data, room)
+    return content, stream.unused_data
+
+
+def _zstd_frame(data: bytes, room: int, step: int = 1024) -> tuple[bytes, bytes]:
+    stream, out, size = zstandard.ZstdDecompressor().decompressobj(), [], 0
+    for at in range(0, len(data), step):  # small steps: what one of them makes has a bound
+        out.append(stream.decompress(data[at : at + step]))
+        size += len(out[-1])
+        if stream.eof:
+            return b"".join(out)[:room], stream.unused_data + data[at + step :]
+        if size >= room:
+            break
+    return b"".join(out)[:room], b""
+
+
 def inflate(data: bytes) -> bytes | None:
-    """The content of a compressed stream, None if it is none."""
-    try:
-        if data[:2] == b"\x1f\x8b":
-            return zlib.decompressobj(31).decompress(data, MAX_LAYER)
-        if data[:1] == b"\x78" and int.from_bytes(data[:2]) % 31 == 0:
-            return zlib.decompressobj().decompress(data, MAX_LAYER)
-        if data[:3] == b"BZh":
-            return bz2.BZ2Decompressor().decompress(data, MAX_LAYER)
-        if data[:6] == b"\xfd7zXZ\0":
-            return lzma.LZMADecompressor().decompress(data, MAX_LAYER)
-        if data[:4] == b"\x28\xb5\x2f\xfd":
-            return zstandard.ZstdDecompressor().stream_reader(data).read(MAX_LAYER)
-    except (zlib.error, OSError, EOFError, lzma.LZMAError, zstandard.ZstdError, ValueError):
-        pass
-    return None
+    """The content of a compressed stream, of all its members and frames; None if it is none."""
+    out: list[bytes] = []
+    room = MAX_LAYER
+    while data and room > 0:
+        try:
+            found = _member(data, room)
+        except (zlib.error, OSError, EOFError, lzma.LZMAError, zstandard.ZstdError, ValueError):
+            break
+        if found is None:
+            break
+        out.append(found[0])
+        room -= len(found[0])
+        data = found[1].lstrip(b"\0")  # padding between members
+    return b"".join(out) if out else None
+
+
+def _inflated(data: bytes) -> Iterator[bytes]:
+    """What a compressed stream holds, what that holds if it is one too, and so on (a stream may hold itself)."""
+    seen: set[bytes] = set()
+    while (packed := inflate(data)) and (mark := hashlib.blake2b(packed, digest_size=16).digest()) not in seen:
+        seen.add(mark)
+        yield packed
+        data = packed
 
 
 def _readable(data: bytes) -> str | None:
     try:
-        text = data.decode()
+        return data.decode() or None
     except UnicodeDecodeError:
         return None
-    odd = sum(1 for c in text if c < " " and c not in "\t\n\r" or c == "\x7f")
-    return text if text and odd == 0 else None
 
 
 def _unbase64(run: str) -> bytes | None:
@@ -176,11 +215,9 @@ def _base64_layers(text: str) -> Iterator[tuple[str, Mapper]]:
                     return (start + a, start + b) if kept is None else (start + kept[a], start + kept[b - 1] + 1)
 
                 yield layer, up
-                break
-            packed = inflate(raw)
-            layer = None if packed is None else _readable(packed)
-            if layer is not None:
-                yield layer, lambda s, e, start=start, run=run: (start, start + len(run))
+            inner = [x for x in map(_readable, _inflated(raw)) if x is not None]
+            yield from ((x, lambda s, e, start=start, run=run: (start, start + len(run))) for x in inner)
+            if inner or layer is not None and not CONTROL.search(layer):  # else the run's lines may hold more on their own
                 break
 
 

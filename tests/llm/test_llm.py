@@ -231,6 +231,28 @@ def test_secrets_in_layers_map_to_the_text(spark, docs, empty):
     assert secrets.secret_spans(docs).count() == len(corpus()) and secrets.secret_spans(empty).count() == 0
 
 
+def test_secrets_in_nested_streams_members_and_control_characters():
+    import bz2
+    import lzma
+
+    import zstandard
+
+    secret, zstd = b"password=abcdefghijklmnop", zstandard.ZstdCompressor().compress
+    noise = bytes(random.Random(1).choices(b"abcdefgh xyz", k=300))
+    packs = {"gzip": gzip.compress, "zlib": zlib.compress, "bz2": bz2.compress, "xz": lzma.compress, "zstd": zstd}
+    hidden = {f"{a} of {b}": f(g(secret)) for a, f in packs.items() for b, g in packs.items()}
+    hidden |= {f"second of {a}": f(noise) + f(secret) for a, f in packs.items() if a != "zlib"}
+    hidden |= {"third": gzip.compress(zlib.compress(bz2.compress(secret))), "mixed": zstd(noise) + gzip.compress(secret), "skipped frame": zstd(noise) + b"\x50\x2a\x4d\x18\x02\0\0\0ab" + zstd(secret)}
+    hidden |= {"padded": lzma.compress(noise) + bytes(4) + lzma.compress(secret), "broken after": gzip.compress(secret) + gzip.compress(noise)[:12] + b"\xff" * 20}
+    hidden |= {f"control {c}": b"first line " + bytes([c]) + secret for c in (0, 1, 12, 127)} | {"control in gzip": gzip.compress(b"a\0" + secret)}
+    lost = []
+    for name, data in hidden.items():
+        run = base64.b64encode(data).decode()
+        if not any(k == "assign" and 6 <= s < e <= 6 + len(run) for k, s, e in secrets.scan(f"start {run} end")[1]):
+            lost.append(name)
+    assert lost == []
+
+
 def page(body):
     return f"<html><head><title>t</title></head><body>{body}</body></html>"
 
