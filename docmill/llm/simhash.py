@@ -144,17 +144,6 @@ def near_groups(spark: SparkSession, docs: DataFrame, words_per_shingle: int = 4
     return rows.join(named, "fp").select("doc_id", "text_key", "fp", "component_id")
 
 
-def near_deduplicated(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """One row of each component stays (its smallest id), with the columns of ``docs`` only."""
-    ws = Workspace(spark, "simhash-kept")
-    groups = near_groups(spark, docs)
-    best = F.min(F.struct(F.coalesce("doc_id", F.lit(2**63 - 1)), "doc_id", "text_key"))
-    kept = ws.write(groups.groupBy(F.coalesce("component_id", "fp").alias("g"), F.col("component_id").isNull().alias("n")).agg(best.alias("k")).select(F.col("k.doc_id").alias("_id"), F.col("k.text_key").alias("_key")), "kept")
-    marked = docs.withColumn("_own_key", F.xxhash64(text_or_empty(docs)))
-    left = marked.join(kept, F.col("_own_key").eqNullSafe(F.col("_key")) & marked["doc_id"].cast("long").eqNullSafe(F.col("_id")), "left_semi")
-    return left.dropDuplicates(["doc_id", "_own_key"]).select(*docs.columns)
-
-
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_groups(spark, load(spark, sf_dir, "documents")).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 

@@ -401,6 +401,27 @@ def test_pipeline_stages_keep_columns_and_drop_copies(spark, tmp_path):
     assert {r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path)).collect()} == set(range(40))
 
 
+def test_near_dedup_stage_drops_copies_from_a_similarity_of_four_fifths(spark):
+    rng = random.Random(15)
+    odd = lambda n: ["".join(rng.choices("abcdefgh", k=8)) for _ in range(n)]
+    shingles = lambda x: {tuple(x[i : i + 5]) for i in range(len(x) - 4)}
+    rows, caught = [], []
+    for i in range(300):
+        first = odd(300)
+        other = list(first)
+        for k in rng.sample(range(300), rng.choice([1, 2, 4, 5, 6, 9])):
+            other[k] = "changed"
+        a, b = shingles(first), shingles(other)
+        rows += [(2 * i, " ".join(first)), (2 * i + 1, " ".join(other))]
+        caught.append((2 * i + 1, len(a & b) / len(a | b)))
+    left = {r.doc_id for r in corpus_pipeline.near_dedup(spark, spark.createDataFrame(rows, "doc_id long, text string"), "").collect()}
+    near = [d for d, s in caught if s >= 0.8]
+    print("recall", sum(d not in left for d in near), "of", len(near))
+    assert left >= {2 * i for i in range(300)} | {d for d, s in caught if s < 0.8}
+    assert sum(d not in left for d in near) >= 0.98 * len(near) > 100
+    assert any(s < 0.8 for _, s in caught)
+
+
 def test_encoder_equals_library_on_odd_texts():
     import random
 
