@@ -36,7 +36,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import Workspace, load, text_or_empty
-from .encoding import END_ID, encoder, vocabulary_path
+from .encoding import END_ID, WordEncoder, encoder, slices, vocabulary_path
 
 MAGIC = b"DMTOK1\0\0"
 INDEX = np.dtype([("doc_id", "<i8"), ("offset", "<i8"), ("length", "<i8"), ("n", "<i8")])
@@ -66,12 +66,15 @@ def write_bytes(uri: str, data: bytes) -> None:
 
 
 def train_dictionary(spark: SparkSession, docs: DataFrame, vocabulary: str) -> bytes:
-    """From the sample with the smallest hashes; too little text for training gives a raw dictionary of it."""
-    able = docs.select(text_or_empty(docs).alias("text")).where((F.octet_length("text") <= SAMPLE_BYTES) & (F.octet_length("text") > 0)).withColumn("h", F.xxhash64("text"))
-    # the cut among the hashes first, so that no task sends texts that are not in the sample
-    cut = able.select("h").distinct().orderBy("h").limit(SAMPLE_DOCS).agg(F.max("h")).first()[0]
+    """From about ``SAMPLE_DOCS`` documents, one for each chosen hash of an id; too little text for training gives a raw dictionary of it.
+
+    The share of hashes is set by the number of rows, so that no task sends or sorts texts that are not in the sample.
+    """
+    share = min(1.0, SAMPLE_DOCS / max(1, docs.count()))
+    able = docs.select(F.xxhash64(docs["doc_id"].cast("long")).alias("h"), text_or_empty(docs).alias("text"))
+    able = able.where((F.pmod("h", F.lit(1 << 40)) < int(share * (1 << 40))) & (F.octet_length("text") <= SAMPLE_BYTES) & (F.octet_length("text") > 0))
+    chosen = able.groupBy("h").agg(F.min("text").alias("text")).limit(2 * SAMPLE_DOCS).collect()
     own = encoder(vocabulary)
-    chosen = [] if cut is None else able.where(F.col("h") <= cut).groupBy("h").agg(F.min("text").alias("text")).collect()
     sample = [own.encode(r.text.encode()) for r in sorted(chosen, key=lambda r: r.h)]
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, sample).as_bytes()
@@ -105,6 +108,18 @@ class ShardReader:
         self.file.close()
 
 
+def encoded(own: WordEncoder, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int | None, bytes]]:
+    """doc_id and serialized ids, with the end id, of each row (doc_id, text)."""
+    for batch in batches:
+        at = 0
+        for texts in slices(batch.column(1)):
+            docs = own.encode_slice(texts, END_ID)
+            raw = docs.ids.astype("<u4").tobytes()
+            spans = zip(docs.ends.tolist(), docs.sizes.tolist(), strict=True)
+            yield from zip(batch.column(0).slice(at, len(texts)).to_pylist(), (raw[(e - n) * 4 : e * 4] for e, n in spans), strict=True)
+            at += len(texts)
+
+
 def _shard_writer(root: str, vocabulary: str, dictionary: bytes, level: int):
     digest = hashlib.sha256(dictionary).digest()
 
@@ -113,21 +128,18 @@ def _shard_writer(root: str, vocabulary: str, dictionary: bytes, level: int):
         uri = f"{root}/shards/{task.partitionId():06d}-{task.taskAttemptId()}.dmtok"
         pack = zstandard.ZstdCompressor(level=3, dict_data=zstandard.ZstdCompressionDict(dictionary)).compress
         own, index, out, at, total = encoder(vocabulary), [], None, 40, 0
-        end = np.asarray([END_ID], "<u4").tobytes()
         try:
-            for batch in batches:
-                for doc_id, ids in zip(batch.column(0).to_pylist(), own.encode_all(batch.column(1).cast(pa.binary()).to_pylist()), strict=True):
-                    if out is None:
-                        system, path = store(uri)
-                        system.create_dir(path.rsplit("/", 1)[0], recursive=True)
-                        out = system.open_output_stream(path)
-                        out.write(MAGIC + digest)
-                    ids += end
-                    frame = pack(ids)
-                    out.write(frame)
-                    index.append((NO_ID if doc_id is None else doc_id, at, len(frame), len(ids) // 4))
-                    at += len(frame)
-                    total += len(ids) // 4
+            for doc_id, ids in encoded(own, batches):
+                if out is None:
+                    system, path = store(uri)
+                    system.create_dir(path.rsplit("/", 1)[0], recursive=True)
+                    out = system.open_output_stream(path)
+                    out.write(MAGIC + digest)
+                frame = pack(ids)
+                out.write(frame)
+                index.append((NO_ID if doc_id is None else doc_id, at, len(frame), len(ids) // 4))
+                at += len(frame)
+                total += len(ids) // 4
             if out is not None:
                 out.write(np.array(index, INDEX).tobytes() + struct.pack("<qq", at, len(index)))
         finally:

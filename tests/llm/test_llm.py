@@ -12,42 +12,16 @@ from collections import defaultdict
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 sys.path.insert(0, str(Path(__file__).parent))
 
 import corpus_pipeline
-from docmill.llm import exact_dedup, html_main_text, katz, mixing, packing, passages, quality, secrets, simhash, token_files
+from docmill.llm import encoding, exact_dedup, html_main_text, mixing, packing, passages, quality, secrets, simhash, token_files
 from docmill.llm.common import Workspace, components
 from docmill.llm.encoding import WordEncoder, vocabulary_path
-from plain_katz import plain_scores
-
-SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, kept string, digest string, row string, fp string"
-SPACES = re.compile("[\x20\x09-\x0d]+")
-
-
-def words(rng, n):
-    return " ".join(rng.choice(["the", "of", "and"]) if rng.random() < 0.3 else "".join(rng.choices("abcdefgh", k=rng.randint(2, 9))) for _ in range(n))
-
-
-def corpus():
-    rng = random.Random(5)
-    rows = [(i, words(rng, rng.randint(1, 400))) for i in range(60)]
-    rows += [(100 + i, rows[i][1]) for i in range(10)] + [(200 + i, rows[i][1].replace(" ", " \t", 3)) for i in range(5)]
-    rows += [(300 + i, rows[i][1] + " zz") for i in range(20, 30)]
-    rows += [(None, rows[3][1]), (None, None), (400, None), (401, ""), (402, " \n"), (5, rows[5][1]), (5, "another text"), (403, "é" * 20_000 + " x" * 3000), (404, "of " * 200)]
-    return rows
-
-
-@pytest.fixture(scope="module")
-def docs(spark):
-    return spark.createDataFrame([(d, t, "en" if d and d % 2 else None, "s", None, "a", "b", "c", "d") for d, t in corpus()], SCHEMA)
-
-
-@pytest.fixture(scope="module")
-def empty(spark):
-    return spark.createDataFrame([], SCHEMA)
-
+from shared import SPACES, corpus, words
 
 def test_exact_dedup_equals_plain(spark, docs, empty):
     groups = defaultdict(list)
@@ -162,7 +136,7 @@ def test_quality_estimate_rejects_junk_and_keeps_clean(spark):
 
 
 def test_encoder_equals_the_library():
-    own = WordEncoder(vocabulary_path(), memo_words=50)  # generations turn over
+    own = WordEncoder(vocabulary_path())
     for _, t in corpus() + [(0, "It's <|endoftext|> 12 ﬁ É́x\x1cy a b <|startoftext|>x don't!! ÀÉ 日本語")]:
         text = (t or "")[:5000]
         assert np.frombuffer(own.encode(text.encode()), "<u4").tolist() == own.tokenizer.encode(text, add_special_tokens=False).ids
@@ -213,7 +187,8 @@ def test_packing_covers_every_id_once(spark, docs, empty):
 
 
 def test_hilbert_curve_visits_neighbours():
-    points = sorted((packing.hilbert_key([x, y, z], 2), (x, y, z)) for x in range(4) for y in range(4) for z in range(4))
+    cube = [(x, y, z) for x in range(4) for y in range(4) for z in range(4)]
+    points = sorted(zip(packing.hilbert_keys(np.array(cube), 2).tolist(), cube))
     assert [k for k, _ in points] == list(range(64))
     assert all(sum(abs(a - b) for a, b in zip(p, q)) == 1 for (_, p), (_, q) in zip(points, points[1:]))
 
@@ -286,17 +261,6 @@ def test_common_lines_is_longest():
         assert len(got) == best[-1, -1] and got == sorted(set(got))
 
 
-def test_katz_equals_plain_and_sums_to_one(spark, docs, empty):
-    expected, p2, uni, _ = plain_scores(corpus())
-    got = katz.katz_scores(spark, docs).collect()
-    key = lambda r: (repr(r[0]), r[2], round(r[5], 6))
-    for r, e in zip(sorted(map(tuple, got), key=key), sorted(expected, key=key), strict=True):
-        assert r[:5] == e[:5] and r[5:] == pytest.approx(e[5:], rel=1e-9)
-    for h in (b"", b"the", b"never seen"):
-        assert sum(p2(h, w) for w in uni) + p2(h, b"unknown word") == pytest.approx(1)
-    assert katz.katz_scores(spark, empty).count() == 0
-
-
 def test_passages_are_found_and_clean_texts_left_alone(spark, empty):
     rng = random.Random(4)
     shared, texts = words(rng, 80).split(), []
@@ -423,17 +387,46 @@ def test_near_dedup_stage_drops_copies_from_a_similarity_of_four_fifths(spark):
 
 
 def test_encoder_equals_library_on_odd_texts():
-    import random
-
-    import numpy as np
     from tokenizers import Tokenizer
 
-    from docmill.llm.encoding import WordEncoder, vocabulary_path
-
-    whole, own = Tokenizer.from_file(vocabulary_path()), WordEncoder(vocabulary_path(), memo_words=500)
+    whole, own = Tokenizer.from_file(vocabulary_path()), WordEncoder(vocabulary_path())
     letters = [chr(c) for c in range(1, 0x180)] + list("'''sdtrevml  ..,0123") + ["́", "İ", "Σ", "Ɓ", "<|", "<|startoftext|>", "\x85", "\t", "\x00", "日", "\U0001f600", "</w>"]
     r = random.Random(3)
     texts = ["", " \n ", "\x00"] + ["".join(r.choice(letters) for _ in range(r.randint(0, 40))) for _ in range(2000)]
-    got = own.encode_all([x.encode() for x in texts])
-    for x, ids in zip(texts, got, strict=True):
-        assert ids == np.asarray(whole.encode(x, add_special_tokens=False).ids, "<u4").tobytes(), repr(x)
+    for end, most in ((None, 1 << 30), (1, 1 << 30), (1, 200)):
+        found = []
+        for part in encoding.slices(pa.array(texts), most):
+            got = own.encode_slice(part, end)
+            assert got.sizes.sum() == len(got.ids) == (got.ends[-1] if len(got.ends) else 0)
+            found += [got.ids[e - n : e].tolist() for e, n in zip(got.ends, got.sizes)]
+        for x, ids in zip(texts, found, strict=True):
+            assert ids == whole.encode(x, add_special_tokens=False).ids + ([1] if end else []), repr(x)
+
+
+def test_encoder_of_another_vocabulary_uses_the_whole_library():
+    own = WordEncoder(vocabulary_path("byte_bpe_50k.json"))
+    own.plain = None
+    for text in ("", "One word, it's", "a <|endoftext|> b"):
+        assert own.encode_slice(pa.array([text])).ids.tolist() == [i for w in text.split() for i in own.tokenizer.encode(w, add_special_tokens=False).ids]
+
+
+def test_neighbours_on_the_curve_are_more_alike(spark):
+    rng = random.Random(21)
+    topics = [["".join(rng.choices("abcdefgh", k=6)) for _ in range(40)] for _ in range(30)]
+    rows = [(i, " ".join(rng.choices(topics[i % 30], k=60))) for i in range(600)]
+    got = packing.pack_documents(spark, spark.createDataFrame(rows, "doc_id long, text string"), length=512, partitions=3).collect()
+    by = defaultdict(set)
+    for r in got:
+        by[r.sequence_id].add(r.doc_id % 30)
+    held = defaultdict(set)
+    for r in got:
+        held[r.sequence_id].add(r.doc_id)
+    pairs = [(a % 30 == b % 30) for own in held.values() for a in own for b in own if a < b]
+    assert sum(pairs) / len(pairs) > 4 / 30  # by chance: one in 30
+
+
+def test_copies_on_the_curve_and_one_document(spark):
+    rows = [(i, "same text here") for i in range(40)]
+    got = packing.pack_documents(spark, spark.createDataFrame(rows, "doc_id long, text string"), length=16, partitions=4).collect()
+    assert sum(r.length for r in got) == sum(len(i) for _, i in encoded(rows))
+    assert packing.pack_documents(spark, spark.createDataFrame(rows[:1], "doc_id long, text string")).count() >= 1
