@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,6 +26,18 @@ def shared_root(spark: SparkSession) -> str:
     return _FALLBACK[0]
 
 
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of the actions inside go when the action ends: what they made is written."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 class Workspace:
     """A folder for one run of one operator, below the shared folder."""
 
@@ -36,7 +50,8 @@ class Workspace:
         writer = df.write.option("compression", "zstd")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
-        writer.parquet(f"{self.path}/{name}")
+        with shuffles_dropped(self.spark):
+            writer.parquet(f"{self.path}/{name}")
         return self.spark.read.schema(df.schema).parquet(f"{self.path}/{name}")
 
     def drop(self, name: str) -> None:
