@@ -10,20 +10,19 @@ from contextlib import contextmanager
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_FALLBACK: list[str] = []
-
 #: ASCII white space, as a Java and RE2 character class.
 SPACE = r"[\x20\x09-\x0D]"
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder all executors share.  A private one is made only where the session names none (tests)."""
+    """The folder all executors share, from ``spark.checkpoint.dir``; only a session in one process may name none."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if root:
-        return root.rstrip("/")
-    if not _FALLBACK:
-        _FALLBACK.append("file://" + tempfile.mkdtemp(prefix="docmill-"))
-    return _FALLBACK[0]
+    if not root and spark.sparkContext.master.startswith("local") and not spark.sparkContext.master.startswith("local-cluster"):
+        root = "file://" + tempfile.mkdtemp(prefix="docmill-")
+        spark.conf.set("spark.checkpoint.dir", root)
+    if not root:
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return root.rstrip("/")
 
 
 @contextmanager
@@ -65,6 +64,17 @@ def text_or_empty(df: DataFrame, column: str = "text") -> Column:
     return F.coalesce(df[column].cast("string"), F.lit(""))
 
 
+def kept_once(docs: DataFrame, kept: DataFrame, key: Column) -> DataFrame:
+    """One row of ``docs`` for each id and key (``_id``, ``_key``) of ``kept``, with their own columns only.
+
+    Both steps, the join and the choice among equal rows, stand on one partitioning of ``docs``.
+    """
+    name = lambda c: F.coalesce(c.cast("string"), F.lit(""))
+    chosen = kept.select(name(F.col("_id")).alias("_own_id"), F.col("_key").alias("_own_key")).distinct()
+    marked = docs.withColumns({"_own_id": name(docs["doc_id"].cast("long")), "_own_key": key})
+    return marked.join(chosen, ["_own_id", "_own_key"], "left_semi").dropDuplicates(["_own_id", "_own_key"]).select(*docs.columns)
+
+
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 

@@ -109,6 +109,18 @@ def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     return numbered.dictionary, numbered.indices.to_numpy(), pc.list_value_length(lists).to_numpy()
 
 
+def tokens(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Distinct words in lower case (A-Z), the texts' words as places there, words a text; no empty words."""
+    words, places, counts = split_words(pc.ascii_lower(texts))
+    words = words.to_pylist()
+    if "" in words:  # of a text with white space at its ends
+        empty = words.index("")
+        keep = places != empty
+        of = np.repeat(np.arange(len(counts)), counts)
+        counts, places = np.bincount(of[keep], minlength=len(counts)), places[keep]
+    return words, places, counts.astype(np.int64)
+
+
 class WordEncoder:
     """Encodes whole texts."""
 

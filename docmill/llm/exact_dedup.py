@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import SPACE, Workspace, load, text_or_empty
+from .common import SPACE, Workspace, kept_once, load, text_or_empty
 
 
 def normalised(df: DataFrame):
@@ -84,11 +84,8 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, counters: int = 1023) -> D
 
 def deduplicated(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, with their own columns only."""
-    kept = exact_dedup(spark, docs).where("kept").select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest"))
-    marked = docs.withColumn("_own_digest", text_digest(docs))
-    left = marked.join(kept, F.col("_own_digest").eqNullSafe(F.col("_digest")) & marked["doc_id"].cast("long").eqNullSafe(F.col("_id")), "left_semi")
-    # equal rows (same id, same text) still stand side by side: a digest is kept once
-    return left.dropDuplicates(["_own_digest"]).select(*docs.columns)
+    kept = exact_dedup(spark, docs).where("kept").select(F.col("doc_id").alias("_id"), F.col("digest").alias("_key"))
+    return kept_once(docs, kept, text_digest(docs))
 
 
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

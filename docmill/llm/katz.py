@@ -37,18 +37,18 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import Workspace, load, text_or_empty
-from .encoding import slices, split_words
+from .encoding import slices, tokens
 
 K = 5
 CHUNK_TOKENS = 2_000_000  # below 2**21, so that three numbers of a chunk's words fit 63 bits
-BUCKET_TOKENS = 2_000_000
+CHUNK_BYTES = 8 << 20  # documents that make a chunk, if none is longer
+BUCKET_TOKENS = 1_000_000
 END = ""  # no word is empty
 
 
@@ -59,19 +59,19 @@ def _pack(*arrays: np.ndarray) -> bytes:
         width = 8 if a.dtype.kind == "f" else next(w for w in (1, 2, 4, 8) if int(a.max(initial=0)) < 1 << 8 * w)
         raw = a.astype("<f8" if a.dtype.kind == "f" else f"<u{width}")
         head += [len(a), width, int(a.dtype.kind == "f")]
-        body.append(raw.view(np.uint8).reshape(-1, width).T.tobytes())
+        body.append(np.ascontiguousarray(raw.view(np.uint8).reshape(-1, width).T).tobytes())
     return zstandard.ZstdCompressor(level=3).compress(np.array(head, "<i8").tobytes() + b"".join(body))
 
 
-def _unpack(blob: bytes) -> list[np.ndarray]:
-    """int64 or float64 arrays."""
+def _unpack(blob: bytes, wide: bool = True) -> list[np.ndarray]:
+    """int64 or float64 arrays; if not ``wide``, unsigned integers of as few bytes as were packed."""
     raw = zstandard.ZstdDecompressor().decompress(bytes(blob))
     n = int(np.frombuffer(raw, "<i8", 1)[0])
     out, at = [], 8 * (1 + 3 * n)
     for size, width, real in np.frombuffer(raw, "<i8", 3 * n, 8).reshape(-1, 3).tolist():
         planes = np.frombuffer(raw, np.uint8, size * width, at).reshape(width, size)
         own = np.ascontiguousarray(planes.T).view("<f8" if real else f"<u{width}").ravel()
-        out.append(own if real else own.astype(np.int64))
+        out.append(own.astype(np.int64) if wide and not real else own)
         at += size * width
     return out
 
@@ -160,7 +160,7 @@ class Contexts:
 
 def count_sums(count: np.ndarray, of: np.ndarray, n: int) -> np.ndarray:
     """``sums`` of ``n`` contexts, from counts and their contexts."""
-    sums = np.zeros((n, K + 1), np.int64)
+    sums = np.zeros((n, K + 1), np.int32 if count.sum() < 1 << 31 else np.int64)
     for r in range(1, K + 1):
         sums[:, r - 1] = np.bincount(of[count == r], minlength=n)
     sums[:, K] = np.bincount(of, np.where(count > K, count, 0), n)
@@ -198,21 +198,18 @@ def _encode(most: int):
 def _made_chunks(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[dict]:
     for batch in batches:
         at = 0
-        for texts in slices(batch.column(2)):
+        for texts in slices(batch.column(2), CHUNK_BYTES):
             rows, ids = (batch.column(i).slice(at, len(texts)).to_pylist() for i in (0, 1))
             at += len(texts)
-            words, places, counts = split_words(pc.ascii_lower(texts))
-            words = words.to_pylist()
-            empty = words.index("") if "" in words else None
-            if empty is not None:  # not a word: of a text with white space at its ends
-                keep = places != empty
-                of = np.repeat(np.arange(len(counts)), counts)
-                counts, places = np.bincount(of[keep], minlength=len(counts)), places[keep]
-            tokens = np.insert(places + 1, np.cumsum(counts), 0)  # number 0 ends a text
+            words, places, counts = tokens(texts)
+            numbers = np.insert(places + 1, np.cumsum(counts), 0)  # number 0 ends a text
             held = [zlib.crc32(b"" if d is None else str(d).encode()) % 10 == 0 for d in ids]
-            for own, pieces in _chunks(tokens, counts + 1, most):
-                seen, local = np.unique(np.append(0, own), return_inverse=True)  # the end token is number 0 even where none stands
-                local = local[1:]
+            for own, pieces in _chunks(numbers, counts + 1, most):
+                if len(pieces) == len(texts) and pieces[-1][1] == counts[-1] + 1 and "" not in words:  # all of them: every number occurs
+                    seen, local = np.arange(len(words) + 1), own
+                else:
+                    seen, local = np.unique(np.append(0, own), return_inverse=True)  # the end token is number 0 even where none stands
+                    local = local[1:]
                 train = np.concatenate([np.arange(n) >= lead if not held[i] else np.zeros(n, bool) for i, n, lead in pieces])
                 yield {
                     "rows": [rows[i] for i, *_ in pieces], "doc_ids": [ids[i] or 0 for i, *_ in pieces], "nulls": [ids[i] is None for i, *_ in pieces], "held": [held[i] for i, *_ in pieces],
@@ -314,56 +311,79 @@ def _known(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(out)
 
 
-class Chunk:
-    """One chunk's distinct trigrams in sending order, and where its tokens find them."""
+class Grams:
+    """A chunk's tokens with the two before each; the leading tokens of a piece are context only."""
 
-    def __init__(self, row: dict, buckets: int, hot: int, hot_pairs: set[tuple[int, int]], order: int):
+    def __init__(self, row: dict, order: int):
         (tokens,), (steps,), (self.counts,) = (_unpack(row[c]) for c in ("tokens", "ids", "counts"))
         self.ids, end = np.cumsum(steps), row["end"]
         sizes, leads = np.array(row["sizes"], np.int64), np.array(row["leads"], np.int64)
-        starts = np.cumsum(sizes) - sizes
-        place = np.arange(len(tokens)) - np.repeat(starts, sizes)
-        lead = np.repeat(leads, sizes)
-        h1 = np.where(place > 0, np.roll(tokens, 1), end)
-        h2 = np.where(place > 1, np.roll(tokens, 2), end) if order > 2 else np.full(len(tokens), end)
-        own = place >= lead
-        train = ~np.repeat(np.array(row["held"], bool), sizes)[own]
+        place = np.arange(len(tokens)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        own = place >= np.repeat(leads, sizes)
+        self.train = ~np.repeat(np.array(row["held"], bool), sizes)[own]
         self.tokens, self.sizes = tokens[own], sizes - leads
-        trigram, where = np.unique((h1 << 42 | h2 << 21 | tokens)[own], return_inverse=True)
-        seen = np.bincount(where[train], minlength=len(trigram))
+        self.h1 = np.where(place > 0, np.roll(tokens, 1), end)[own]
+        self.h2 = np.where(place > 1, np.roll(tokens, 2), end)[own] if order > 2 else np.full(len(self.tokens), end)
+
+    def hot_pairs(self, hot: int, buckets: int):
+        """Distinct pairs (h1, w) of hot h1 and their training counts, by h1 and w; their buckets and the sending order."""
+        at = np.flatnonzero((self.counts >= hot)[self.h1])
+        pair, seen = _counted(self.h1[at] << 21 | self.tokens[at], self.train[at])
+        h1, w = pair >> 21, pair & 0x1FFFFF
+        to = (_mix(_mix(self.ids)[h1] ^ _mix(self.ids + 1)[w]) % np.uint64(buckets)).astype(np.int64)
+        return h1, w, seen, to, np.argsort(to, kind="stable")
+
+
+def _counted(keys: np.ndarray, train: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys (below 2**63) in order, and how many of each count."""
+    both = np.sort(keys.astype(np.uint64) << np.uint64(1) | train.astype(np.uint64))
+    starts = _starts(both >> np.uint64(1))
+    seen = np.add.reduceat((both & np.uint64(1)).astype(np.int64), starts) if len(starts) else np.zeros(0, np.int64)
+    return (both[starts] >> np.uint64(1)).astype(np.int64), seen
+
+
+class Chunk:
+    """One chunk's distinct trigrams in sending order and, if asked for, where its tokens find them."""
+
+    def __init__(self, row: dict, buckets: int, hot: int, hot_pairs: set[tuple[int, int]], order: int, places: bool = False):
+        grams = Grams(row, order)
+        self.ids, self.counts, self.tokens, self.sizes = grams.ids, grams.counts, grams.tokens, grams.sizes
+        key = grams.h1 << 42 | grams.h2 << 21 | grams.tokens
+        if places:
+            trigram, where = np.unique(key, return_inverse=True)
+            seen = np.bincount(where[grams.train], minlength=len(trigram))
+        else:
+            trigram, seen = _counted(key, grams.train)
         h1, h2, w = trigram >> 42, trigram >> 21 & 0x1FFFFF, trigram & 0x1FFFFF
         self.is_hot = self.counts >= hot
-        g1, g2 = _mix(self.ids)[h1], _mix(self.ids + 1)[h2]
-        mixed = np.where(self.is_hot[h1], _mix(g1 ^ g2 * np.uint64(3)), g1)
+        hot1 = self.is_hot[h1]
+        mixed = _mix(self.ids)[h1]
+        mixed[hot1] = _mix(mixed[hot1] ^ _mix(self.ids + 1)[h2[hot1]] * np.uint64(3))
         pair = np.zeros(len(trigram), bool)
         if hot_pairs:
-            both = np.flatnonzero(self.is_hot[h1] & self.is_hot[h2])
+            both = np.flatnonzero(hot1 & self.is_hot[h2])
             pair[both] = [x in hot_pairs for x in zip(self.ids[h1[both]].tolist(), self.ids[h2[both]].tolist(), strict=True)]
-            mixed = np.where(pair, _mix(mixed ^ _mix(self.ids + 2)[w]), mixed)
+            mixed[pair] = _mix(mixed[pair] ^ _mix(self.ids + 2)[w[pair]])
         to = (mixed % np.uint64(buckets)).astype(np.uint16 if buckets < 1 << 16 else np.int64)
         sort = np.argsort(to, kind="stable")  # inside a bucket by global ids, as the words' numbers are
         self.h1, self.h2, self.w, self.seen, self.pair, self.to = h1[sort], h2[sort], w[sort], seen[sort], pair[sort], to[sort].astype(np.int64)
-        back = np.empty(len(sort), np.int64)
-        back[sort] = np.arange(len(sort))
-        self.place = back[where]
+        if places:
+            back = np.empty(len(sort), np.int64)
+            back[sort] = np.arange(len(sort))
+            self.place = back[where]
 
     def parts(self) -> list[np.ndarray]:
         """Places of each bucket's trigrams."""
         return np.split(np.arange(len(self.to)), _starts(self.to)[1:]) if len(self.to) else []
 
-    def hot_items(self, buckets: int):
-        """Pairs (h1, w) of hot h1 in sending order, training counts, buckets, place of every trigram's pair (-1: not hot)."""
+    def pair_counts(self, blob: bytes) -> np.ndarray:
+        """Training count of every trigram's pair (h1, w) where h1 is hot, else 0; ``blob`` has those pairs' counts by h1 and w."""
+        (count,) = _unpack(blob)
         at = np.flatnonzero(self.is_hot[self.h1])
-        pair, where = np.unique(self.h1[at] << 21 | self.w[at], return_inverse=True)
-        h1, w = pair >> 21, pair & 0x1FFFFF
-        seen = np.bincount(where, self.seen[at], len(pair)).astype(np.int64)
-        to = (_mix(_mix(self.ids)[h1] ^ _mix(self.ids + 1)[w]) % np.uint64(buckets)).astype(np.int64)
-        sort = np.argsort(to, kind="stable")
-        back = np.empty(len(sort), np.int64)
-        back[sort] = np.arange(len(sort))
-        place = np.full(len(self.h1), -1)
-        place[at] = back[where]
-        return h1[sort], w[sort], seen[sort], to[sort], place
+        _, where = np.unique(self.h1[at] << 21 | self.w[at], return_inverse=True)
+        low = np.zeros(len(self.h1), np.int64)
+        low[at] = count[where]
+        return low
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -383,17 +403,18 @@ def _send_hot(buckets: int, hot: int, order: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(batches):
-            own = Chunk(row, buckets, hot, set(), order)
-            h1, w, seen, to, _ = own.hot_items(buckets)
+            own = Grams(row, order)
+            h1, w, seen, to, sort = own.hot_pairs(hot, buckets)
+            h1, w, seen, to = h1[sort], w[sort], seen[sort], to[sort]
             rows = []
             for at in np.split(np.arange(len(to)), _starts(to)[1:]) if len(to) else []:
                 starts = _starts(h1[at])
                 words, local = np.unique(w[at], return_inverse=True)
                 blob = _pack(_steps(own.ids[h1[at][starts]]), _sizes(starts, len(at)), _steps(own.ids[words]), own.counts[words], local, seen[at])
                 rows.append({"bucket": int(to[at[0]]), "chunk": row["chunk"], "blob": blob})
-            both = np.flatnonzero(own.is_hot[own.h1] & own.is_hot[own.h2])
-            pair, where = np.unique(own.h1[both] << 21 | own.h2[both], return_inverse=True)
-            n = np.bincount(where, own.seen[both], len(pair)).astype(np.int64)
+            is_hot = own.counts >= hot
+            both = np.flatnonzero(is_hot[own.h1] & is_hot[own.h2])
+            pair, n = _counted(own.h1[both] << 21 | own.h2[both], own.train[both])
             able = n * 8 * buckets >= max(1, len(own.tokens))
             a, b = own.ids[pair[able] >> 21], own.ids[pair[able] & 0x1FFFFF]
             to = (_mix(a ^ b << 1) % np.uint64(buckets)).astype(np.int64)
@@ -449,34 +470,27 @@ def _table(order: int, bucket: int, total: np.ndarray, h1: np.ndarray, h2: np.nd
 
 
 def _with_hot(buckets: int, hot: int, order: int):
-    """Chunks with the training counts of their hot words' pairs, in sending order."""
+    """Chunks with the training counts of their hot words' pairs, by the pair's words."""
 
     def run(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out = []
         for row in left.to_dict("records"):
-            *_, to, _ = Chunk(row, buckets, hot, set(), order).hot_items(buckets)
-            count = np.zeros(len(to), np.int64)
+            *_, to, sort = Grams(row, order).hot_pairs(hot, buckets)
+            to, count = to[sort], np.zeros(len(to), np.int64)
             for bucket, blob in right[["bucket", "blob"]].itertuples(index=False):
                 lo, hi = np.searchsorted(to, [bucket, bucket + 1])
-                (count[lo:hi],) = _unpack(blob)
+                (count[sort[lo:hi]],) = _unpack(blob)
             out.append(row | {"hot": _pack(count)})
         return pd.DataFrame(out)
 
     return run
 
 
-def _pair_counts(own: Chunk, row: dict, buckets: int) -> np.ndarray:
-    """Training count of every trigram's pair (h1, w) where h1 is hot, else 0."""
-    *_, place = own.hot_items(buckets)
-    (count,) = _unpack(row["hot"])
-    return np.where(place >= 0, np.append(count, 0)[place], 0)
-
-
 def _send_trigrams(buckets: int, hot: int, hot_pairs: set, order: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(batches):
             own = Chunk(row, buckets, hot, hot_pairs, order)
-            low = _pair_counts(own, row, buckets)
+            low = own.pair_counts(row["hot"])
             rows = []
             for at in own.parts():
                 h1, h2 = own.h1[at], own.h2[at]
@@ -507,54 +521,63 @@ def _count_trigrams(unigrams: Unigrams, order: int):
 
 
 def _count_bucket(bucket: int, sent: list[tuple[int, bytes]], unigrams: Unigrams, order: int) -> Iterator[pa.RecordBatch]:
-    parts = [_unpack(blob) for _, blob in sent]
-    first, a = _dense([np.cumsum(p[0]) for p in parts])
-    second, b = _dense([p[3] for p in parts])
-    words, w = _dense([np.cumsum(p[6]) for p in parts])
+    parts = [_unpack(blob, wide=False) for _, blob in sent]
+    first, a = _dense([np.cumsum(p[0], dtype=np.int64) for p in parts])
+    second, b = _dense([p[3].astype(np.int64) for p in parts])
+    words, w = _dense([np.cumsum(p[6], dtype=np.int64) for p in parts])
     known, is_hot = np.zeros(len(words), np.int64), np.zeros(len(first), bool)
     for p, x, y in zip(parts, a, w, strict=True):
         is_hot[x], known[y] = p[2] > 0, p[7]
     wb, ww = (max(1, int(len(x) - 1).bit_length()) for x in (second, words))
     if wb + ww + max(1, int(len(first) - 1).bit_length()) > 63:
         raise ValueError("a bucket's words do not fit its keys: more buckets are needed")
-    key = np.concatenate([np.repeat(np.repeat(x, p[1]) << wb | y, p[4]) << ww | z[p[8]] for p, x, y, z in zip(parts, a, b, w, strict=True)])
-    sort = np.argsort(key, kind="stable")  # sorted runs
-    ordered = key[sort]
-    starts = _starts(ordered)
-    distinct = ordered[starts]
-    place = np.empty(len(sort), np.int64)
-    place[sort] = np.repeat(np.arange(len(starts)), _sizes(starts, len(sort)))
-    total = np.add.reduceat(np.concatenate([p[9] for p in parts])[sort], starts)
-    del ordered, key
-    h1, word = distinct >> (wb + ww), distinct & ((1 << ww) - 1)
+    sizes = [len(p[8]) for p in parts]
+    key, at = np.empty(sum(sizes), np.int64), 0
+    for p, x, y, z in zip(parts, a, b, w, strict=True):
+        key[at : at + len(p[8])] = np.repeat(np.repeat(x, p[1]) << wb | y, p[4]) << ww | z[p[8]]
+        at += len(p[8])
+    del a, b, w
+    sort = np.argsort(key, kind="stable").astype(np.uint32)  # sorted runs
+    key = key[sort]
+    starts = _starts(key)
+    distinct = key[starts]
+    del key
+    place = np.empty(len(sort), np.uint32)
+    place[sort] = np.repeat(np.arange(len(starts), dtype=np.uint32), _sizes(starts, len(sort)))
+    total = np.add.reduceat(np.concatenate([p[9] for p in parts])[sort], starts, dtype=np.int64)
+    del sort, starts
+    h1, word = (distinct >> (wb + ww)).astype(np.int32), (distinct & ((1 << ww) - 1)).astype(np.int32)
     # counts of pairs: sums over the second word; those of hot words came with the trigrams
-    pair, of_pair = np.unique(h1 << ww | word, return_inverse=True)
+    pair, of_pair = np.unique(distinct >> (wb + ww) << ww | word, return_inverse=True)
+    of_pair = of_pair.astype(np.uint32)
     pair_total = np.bincount(of_pair, total, len(pair)).astype(np.int64)
-    hot_item = np.concatenate([np.repeat(np.repeat(p[2] > 0, p[1]), p[4]) for p in parts])
-    given = np.zeros(len(hot_item), np.int64)
-    given[hot_item] = np.concatenate([p[10] for p in parts])
-    pair_hot = is_hot[pair >> ww]
-    full = pair_total.copy()
-    own = np.zeros(len(distinct), np.int64)
-    own[place] = given
-    low = np.where(is_hot[h1], own, full[of_pair])
+    pair_h1, pair_w = (pair >> ww).astype(np.int32), (pair & ((1 << ww) - 1)).astype(np.int32)
+    pair_hot = is_hot[pair_h1]
+    del pair
+    low, at = pair_total[of_pair], 0
+    del of_pair
+    for p, n in zip(parts, sizes, strict=True):
+        item = np.repeat(np.repeat(p[2] > 0, p[1]), p[4])
+        low[place[at : at + n][item]] = p[10]
+        at += n
     # contexts of two words, and of one word that is not hot
     context_at = _starts(distinct >> ww)
-    context = np.repeat(np.arange(len(context_at)), _sizes(context_at, len(distinct)))
+    context = np.repeat(np.arange(len(context_at), dtype=np.int32), _sizes(context_at, len(distinct)))
     sums, seen = count_sums(total, context, len(context_at)), total > 0
     lower = count_sums(low[seen], context[seen], len(context_at))
-    sums2 = count_sums(pair_total[~pair_hot], (pair >> ww)[~pair_hot], len(first))
-    mass = np.bincount((pair >> ww)[~pair_hot], np.where(pair_total > 0, unigrams.p(known[pair & ((1 << ww) - 1)]), 0)[~pair_hot], len(first))
+    cold = ~pair_hot
+    sums2 = count_sums(pair_total[cold], pair_h1[cold], len(first))
+    mass = np.bincount(pair_h1[cold], np.where(pair_total[cold] > 0, unigrams.p(known[pair_w[cold]]), 0), len(first))
     at, hot_contexts = 0, set()
     for (chunk, _), p in zip(sent, parts, strict=True):
         own = place[at : at + len(p[8])]
         at += len(own)
-        begin = np.cumsum(p[4]) - p[4]
+        begin = np.cumsum(p[4], dtype=np.int64) - p[4]
         ctx, c = context[own[begin]], total[own]
         hot_contexts.update(ctx[p[5] > 0].tolist())
         need = c == 0 if order > 2 else np.ones(len(c), bool)
         by_context = np.logical_or.reduceat(need, begin)
-        begin1 = np.cumsum(p[1]) - p[1]
+        begin1 = np.cumsum(p[1], dtype=np.int64) - p[1]
         by_first = np.logical_or.reduceat(by_context, begin1) & (p[2] == 0)
         asked = h1[own[begin[begin1]]][by_first]
         blob = _pack(c, sums[ctx].ravel(), lower[ctx[by_context]].ravel(), low[own[need]], sums2[asked].ravel(), mass[asked])
@@ -563,8 +586,7 @@ def _count_bucket(bucket: int, sent: list[tuple[int, bytes]], unigrams: Unigrams
     for i in hot_contexts:
         x = distinct[context_at[i]]
         rows.append({"kind": "h", "h1": int(first[x >> (wb + ww)]), "h2": int(second[x >> ww & ((1 << wb) - 1)]), "sums": [*map(float, sums[i]), *map(float, lower[i])]})
-    cold = np.flatnonzero(~pair_hot)
-    tables = [_table(2, bucket, pair_total[cold], first[pair[cold] >> ww], None, words[pair[cold] & ((1 << ww) - 1)])]
+    tables = [_table(2, bucket, pair_total[cold], first[pair_h1[cold]], None, words[pair_w[cold]])]
     if order > 2:
         tables.append(_table(3, bucket, total, first[h1], second[distinct >> ww & ((1 << wb) - 1)], words[word]))
     yield _answers([*rows, *_histogram(3, total), *_histogram(2, pair_total[cold]), *tables])
@@ -576,14 +598,15 @@ def _score(buckets: int, hot: int, hot_pairs: dict, hot_words: dict, unigrams: U
     def run(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out = []
         for row in left.to_dict("records"):
-            own = Chunk(row, buckets, hot, set(hot_pairs), order)
+            own = Chunk(row, buckets, hot, set(hot_pairs), order, places=True)
             n = len(own.h1)
             context, first = _starts(own.to, own.h1, own.h2), _starts(own.to, own.h1)
             of = np.repeat(np.arange(len(context)), _sizes(context, n))
             of1 = np.repeat(np.arange(len(first)), _sizes(first, n))
             c, low = np.zeros(n, np.int64), np.zeros(n, np.int64)
-            sums, lower = (np.zeros((len(context), K + 1), np.int64) for _ in "12")
-            sums2, mass1 = np.zeros((len(first), K + 1), np.int64), np.zeros(len(first))
+            kind = np.int32 if n_tokens < 1 << 31 else np.int64
+            sums, lower = (np.zeros((len(context), K + 1), kind) for _ in "12")
+            sums2, mass1 = np.zeros((len(first), K + 1), kind), np.zeros(len(first))
             of_context = of1[context]
             cold = ~own.is_hot[own.h1[first]]
             for bucket, blob in right[["bucket", "blob"]].itertuples(index=False):

@@ -11,6 +11,11 @@ moves a rate by the preconditioned gradient along its posteriors, projected to
 [0, max_rate].  A document's rate follows from its posteriors and the steps so far,
 so no rate is ever stored or collected.
 
+Targets that no rates reach (a total above what ``max_rate`` allows, a domain without
+documents) leave the nearest rates and a residual above ``tolerance``: it is a column of
+the result, and ``mixed`` warns of it.  ``domain_totals`` gives targets that are reachable by
+construction: shares of each domain's documents, expressed as expected token totals.
+
 Rates become whole copies: the integer part, and one more where a hash of the
 document is below the fraction.
 
@@ -23,6 +28,7 @@ rates; an empty table gives an empty result.
 from __future__ import annotations
 
 import re
+import warnings
 import zlib
 from collections.abc import Iterator
 
@@ -120,12 +126,26 @@ def _rate(steps: list[np.ndarray], max_rate: float | None) -> Column:
     return rate
 
 
-def fit_rates(members: DataFrame, weights: dict[str, float], total: float = 1.0, max_rate: float | None = None, rounds: int = 25, tolerance: float = 1e-5) -> Column:
-    """The rate as an expression over tokens and p0.. of ``members``; ``total`` is a share of all tokens."""
+def token_totals(members: DataFrame) -> np.ndarray:
+    """Expected tokens of each domain over all documents."""
+    got = members.agg(*[F.sum(F.col("tokens") * F.col(f"p{i}")) for i in range(len(DOMAINS))]).first()
+    return np.array([float(x or 0.0) for x in got])
+
+
+def domain_totals(members: DataFrame, keep: dict[str, float]) -> np.ndarray:
+    """Expected token totals if of the documents most likely of domain d the share ``keep[d]`` stayed."""
+    k = range(len(DOMAINS))
+    likely = F.array_position(F.array(*[F.col(f"p{i}") for i in k]), F.greatest(*[F.col(f"p{i}") for i in k])) - 1
+    share = F.element_at(F.array(*[F.lit(float(keep[d])) for d in DOMAINS]), (likely + 1).cast("int"))
+    return token_totals(members.withColumn("tokens", F.col("tokens") * share))
+
+
+def fit_rates(members: DataFrame, target: np.ndarray, max_rate: float | None = None, rounds: int = 40, tolerance: float = 1e-5) -> tuple[Column, float]:
+    """The rate as an expression over tokens and p0.. of ``members`` and the residual: the largest difference from the targeted token totals, as a share of all tokens."""
     k = len(DOMAINS)
-    target = np.array([weights[d] for d in DOMAINS]) / sum(weights.values()) * total
     steps: list[np.ndarray] = []
-    for _ in range(rounds):
+    best, residual = (float("inf"), 0, 0.0), 0.0  # squared distance, steps, residual
+    for turn in range(rounds + 1):
         rate = F.col("rate")
         inside = (rate > 0) & (rate < F.lit(float("inf") if max_rate is None else float(max_rate)))
         cells = [F.sum(F.col("tokens") * rate * F.col(f"p{i}")).alias(f"s{i}") for i in range(k)]
@@ -134,37 +154,46 @@ def fit_rates(members: DataFrame, weights: dict[str, float], total: float = 1.0,
         n = float(got.n or 0)
         if not n:
             break
-        error = np.array([got[f"s{i}"] / n for i in range(k)]) - target
-        if np.abs(error).max() < tolerance:
+        error = np.array([got[f"s{i}"] for i in range(k)]) / n - target / n
+        residual = float(np.abs(error).max())
+        best = min(best, (float(error @ error), len(steps), residual))
+        if residual < tolerance or turn == rounds:
             break
         curve = np.array([[(got[f"h{max(i, j)}{min(i, j)}"] or 0.0) / n for j in range(k)] for i in range(k)])
         steps.append(np.linalg.solve(curve + np.eye(k) * (1e-3 + 1e-2 * np.trace(curve) / k), error))
-    return _rate(steps, max_rate)
+    return _rate(steps[: best[1]], max_rate), best[2]
 
 
-def mixing_rates(spark: SparkSession, docs: DataFrame, labels: DataFrame, weights: dict[str, float], total: float = 1.0, max_rate: float | None = None, max_labelled: int = MAX_LABELLED) -> DataFrame:
-    """doc_id, text_key, tokens, p_<domain>.., rate and copies for every row of ``docs``."""
-    ws = Workspace(spark, "mixing")
-    model = train_classifier(docs, labels, max_labelled)
-    members = ws.write(posteriors(docs, model), "members")
-    rated = members.withColumn("rate", fit_rates(members, weights, total, max_rate))
+def _members(spark: SparkSession, docs: DataFrame, labels: DataFrame, max_labelled: int) -> DataFrame:
+    return Workspace(spark, "mixing").write(posteriors(docs, train_classifier(docs, labels, max_labelled)), "members")
+
+
+def _rated(members: DataFrame, rate: Column, residual: float) -> DataFrame:
     share = F.pmod(F.xxhash64("doc_id", "text_key"), F.lit(1 << 30)) / float(1 << 30)
+    rated = members.withColumn("rate", rate)
     copies = (F.floor("rate") + (share < F.col("rate") - F.floor("rate")).cast("int")).cast("long")
-    return rated.select("doc_id", "text_key", "tokens", *[F.col(f"p{k}").alias(f"p_{d}") for k, d in enumerate(DOMAINS)], "rate", copies.alias("copies"))
+    return rated.select("doc_id", "text_key", "tokens", *[F.col(f"p{k}").alias(f"p_{d}") for k, d in enumerate(DOMAINS)], "rate", copies.alias("copies"), F.lit(residual).alias("residual"))
 
 
-def mixed(spark: SparkSession, docs: DataFrame, labels: DataFrame, weights: dict[str, float], total: float = 1.0, max_rate: float | None = None) -> DataFrame:
-    """``docs`` with every row as often as its copies say, with their own columns only."""
-    ws = Workspace(spark, "mixing-changed")
-    changed = mixing_rates(spark, docs, labels, weights, total, max_rate).where("copies <> 1").select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), F.col("copies").alias("_copies")).distinct()
-    changed = ws.write(changed, "changed")
+def mixing_rates(spark: SparkSession, docs: DataFrame, labels: DataFrame, weights: dict[str, float], total: float = 1.0, max_rate: float | None = None, max_labelled: int = MAX_LABELLED) -> DataFrame:
+    """doc_id, text_key, tokens, p_<domain>.., rate, copies and residual for every row of ``docs``; ``total`` is a share of all tokens."""
+    members = _members(spark, docs, labels, max_labelled)
+    target = np.array([weights[d] for d in DOMAINS]) / sum(weights.values()) * total * token_totals(members).sum()
+    return _rated(members, *fit_rates(members, target, max_rate))
+
+
+def mixed(spark: SparkSession, docs: DataFrame, labels: DataFrame, keep: dict[str, float], max_labelled: int = MAX_LABELLED, tolerance: float = 1e-3) -> DataFrame:
+    """``docs`` thinned to the token totals that ``keep`` (a share of each domain's documents) stands for, with their own columns only."""
+    members = _members(spark, docs, labels, max_labelled)
+    rate, residual = fit_rates(members, domain_totals(members, keep), 1.0)
+    if residual > tolerance:
+        warnings.warn(f"mixing targets are not reached: the residual is {residual:.2g} of all tokens", stacklevel=2)
+    ws = Workspace(spark, "mixing-dropped")
+    dropped = _rated(members, rate, residual).where("copies = 0").select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).distinct()
+    dropped = ws.write(dropped, "dropped")
     marked = docs.withColumn("_own_key", F.xxhash64(text_or_empty(docs)))
     match = F.col("_own_key").eqNullSafe(F.col("_key")) & marked["doc_id"].cast("long").eqNullSafe(F.col("_id"))
-    n = F.coalesce("_copies", F.lit(1)).cast("int")
-    kept = marked.join(changed, match, "left").where(n > 0)
-    if max_rate is None or max_rate > 1:
-        kept = kept.withColumn("_again", F.explode(F.sequence(F.lit(1), n)))
-    return kept.select(*docs.columns)
+    return marked.join(dropped, match, "left_anti").select(*docs.columns)
 
 
 #: Targets of the query: expected token shares of the domains.

@@ -1,23 +1,31 @@
 """Quality rules with robust multivariate outliers, in DataFrame and SQL functions only.
 
 Fixed rules fail very short and very repetitive texts.  Beyond them, each text
-has a vector of transformed statistics (log mean word length, square roots of
-the shares of symbols, repeated lines, repeated words and capitals).  For every
-language and source a minimum-covariance-determinant estimate is fitted: from a
-start at the medians and median deviations, concentration steps keep the share
-``support`` of rows with the smallest Mahalanobis distance and refit mean and
-covariance on them.  A text is rejected when its squared distance under the
-final estimate exceeds ``cutoff``.
-
-At scale: statistics are written once as a few numbers a row; every estimate is
-a partial aggregation over them; medians and the support threshold come from
-histograms of fixed resolution (a bounded number of bins a group), not from
-sorting a group.  Group parameters are joined from a written table, so Spark
-broadcasts them only if their size is under its threshold.
-
-Groups with fewer than ``min_group`` rows share the estimate of their language's
-small groups, and those that are still too few share one over all small groups;
-a group under 20 rows in the end has no estimate and rejects nothing.
+has a vector of transformed statistics: log of the mean word length, square roots of
+the shares of short words and of capitals, log distinct words over log words, square
+roots of the shares of symbols and of repeated words.  For every language and source
+a minimum-covariance-determinant estimate is fitted over the rows that the fixed rules
+pass: from five starts (medians and median deviations alone, and with the correlations of tanh
+scores, spatial signs, clipped scores and the central half) concentration steps keep the
+share ``support`` of rows with the smallest Mahalanobis distance and refit mean and
+covariance on them; after two steps the start with the smallest determinant goes on until
+no determinant changes, and a last fit takes all rows within the quantile ``REWEIGHT``.
+A text is rejected when its squared distance exceeds the chi-square quantile that a share
+``tail`` of normal rows exceeds, times 1 + p (p + 1) / n for p statistics and n rows, since an
+estimate from few rows is itself uncertain.  Statistics of short texts vary more, in
+proportion to 1 / words: below its group's median length the distance counts by words
+over median.
+
+Estimates are regularised alike at every size: a group of n rows weighs n against
+``PRIOR`` rows at its language's medians and median deviations (and a language against
+all rows), so a covariance is never singular and a small group leans on its
+language.  Where most rows of a group have the same value of a statistic, its deviation is
+``RESOLUTION``, the step of that statistic which a reader would not notice.
+
+At scale: statistics are written once as a few numbers a row; medians and thresholds are
+quantile sketches and fits are sums, all of them partial aggregations, so a group of any
+size never meets in one task.  Group parameters are written tables, joined by Spark's
+choice (it broadcasts them only under its size threshold).
 
 Defined cases: a null text has no words (it fails the fixed rules); null
 language and source are values of their own; equal rows are judged alike; an
@@ -26,28 +34,49 @@ empty table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import SPACE, Workspace, load, text_or_empty
 
-X = ("x0", "x1", "x2", "x3", "x4")
-#: Smallest standard deviation that counts, per coordinate: a regularised covariance cannot be singular.
-FLOORS = (0.30, 0.04, 0.15, 0.15, 0.10)
-#: Consistency of a covariance over the central 75 % of a five-dimensional normal: 0.75 / P(chi2_7 <= chi2_5 quantile 0.75).
-CONSISTENCY = 1.41
-SUPPORT = 0.75
-CUTOFF = 40.0
-MIN_GROUP = 100
+X = ("x0", "x1", "x2", "x3", "x4", "x5")
+D = range(len(X))
+CELLS = [(i, j) for i in D for j in range(i + 1)]
+#: Smallest deviation of a statistic that counts.
+RESOLUTION = (0.01, 0.01, 0.01, 0.01, 0.05, 0.15)
+SUPPORT, REWEIGHT, TAIL, PRIOR = 0.75, 0.975, 1e-5, 20
+STEPS, SETTLED = 30, 1e-3
+ACCURACY = 10_000
+
+
+def chi_square_tail(x: float, degrees: int) -> float:
+    """Share of a chi-square distribution of even degrees above ``x``."""
+    return math.exp(-x / 2) * sum((x / 2) ** k / math.factorial(k) for k in range(degrees // 2))
+
+
+def chi_square_above(share: float, degrees: int) -> float:
+    """The quantile that ``share`` exceeds."""
+    lo, hi = 0.0, 1000.0
+    for _ in range(100):
+        mid = (lo + hi) / 2
+        lo, hi = (mid, hi) if chi_square_tail(mid, degrees) > share else (lo, mid)
+    return hi
+
+
+def consistency(support: float, degrees: int = len(X)) -> float:
+    """Factor from the covariance of the central ``support`` of a normal distribution to the whole's."""
+    return support / (1 - chi_square_tail(chi_square_above(1 - support, degrees), degrees + 2))
+
 
 
 def text_statistics(docs: DataFrame) -> DataFrame:
-    """The columns of ``docs``' key and group, the contract's statistics and the vector x0..x4."""
+    """The columns of ``docs``' key and group, the contract's statistics and the vector x0..x5."""
     base = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
-        F.to_json(F.struct(F.col("lang").cast("string").alias("l"), F.col("source").cast("string").alias("s"))).alias("pair"),
-        F.to_json(F.struct(F.col("lang").cast("string").alias("l"))).alias("lang_key"),
+        F.concat(F.lit("pair "), F.to_json(F.struct(F.col("lang").cast("string").alias("l"), F.col("source").cast("string").alias("s")))).alias("pair"),
+        F.concat(F.lit("lang "), F.to_json(F.struct(F.col("lang").cast("string").alias("l")))).alias("lang_key"),
         text_or_empty(docs).alias("t"),
     )
     words = base.withColumns(
@@ -65,6 +94,8 @@ def text_statistics(docs: DataFrame) -> DataFrame:
         F.size("lines").cast("long").alias("n_lines"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         (F.length("t") - F.length(F.regexp_replace("t", r"\p{Lu}+", ""))).cast("long").alias("n_upper"),
+        F.expr("size(filter(w, x -> length(x) <= 3))").alias("n_short"),
+        F.size(F.array_distinct("w")).alias("n_distinct"),
         F.expr("case when size(w) < 3 then cast(array() as array<bigint>) else transform(sequence(0, size(w) - 3), i -> xxhash64(w[i], w[i + 1], w[i + 2])) end").alias("h"),
     )
     # windows found again: sort (hash, place), keep places with an equal neighbour, add up what they cover
@@ -74,118 +105,162 @@ def text_statistics(docs: DataFrame) -> DataFrame:
     sorted_ = counted.withColumn("s", F.expr(f"case when size(array_distinct(h)) < size(h) then {ordered} end")).drop("h")
     places = sorted_.withColumn("q", F.expr(f"case when s is not null then {again} end")).drop("s")
     stats = places.withColumn("n_repeat_words", F.expr(f"case when q is null then 0L else {covered} end")).drop("q")
-    chars = F.greatest(F.col("word_chars"), F.lit(1)).cast("double")
+    n, chars = F.greatest(F.col("n_words"), F.lit(1)), F.greatest(F.col("word_chars"), F.lit(1))
     return stats.withColumns(
         {
-            "x0": F.log(F.greatest(F.col("word_chars"), F.lit(1)) / F.greatest(F.col("n_words"), F.lit(1))),
-            "x1": F.sqrt(F.col("n_symbols") / chars),
-            "x2": F.sqrt(F.col("n_dup_lines") / F.greatest(F.col("n_lines"), F.lit(1))),
-            "x3": F.sqrt(F.col("n_repeat_words") / F.greatest(F.col("n_words"), F.lit(1))),
-            "x4": F.sqrt(F.col("n_upper") / chars),
+            "x0": F.log(F.greatest(F.col("word_chars"), F.lit(1)) / n),
+            "x1": F.sqrt(F.col("n_short") / n),
+            "x2": F.sqrt(F.col("n_upper") / chars),
+            "x3": F.log(F.greatest(F.col("n_distinct"), F.lit(2))) / F.log(F.greatest(F.col("n_words"), F.lit(2))),
+            "x4": F.sqrt(F.col("n_symbols") / chars),
+            "x5": F.sqrt(F.col("n_repeat_words") / n),
             "base_failed": (F.col("n_words") < 50) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 50),
         }
     )
 
 
-def _groups(stats: DataFrame, min_group: int) -> DataFrame:
-    """pair -> grp, by the number of rows that the fixed rules pass."""
-    sizes = stats.where("not base_failed").groupBy("pair", "lang_key").agg(F.count("*").alias("n"))
-    small = F.col("n") < min_group
-    pooled = sizes.where(small).groupBy("lang_key").agg(F.sum("n").alias("pool"))
-    grp = F.when(~small, F.col("pair")).when(F.col("pool") >= min_group, F.concat(F.lit("lang:"), "lang_key")).otherwise(F.lit("all"))
-    return sizes.join(pooled, "lang_key", "left").select("pair", grp.alias("grp"))
-
-
-def _low_quantile(binned: DataFrame, keys: list[str], share: float) -> DataFrame:
-    """The first bin at which a group's cumulative share of rows reaches ``share``."""
-    hist = binned.groupBy(*keys, "bin").agg(F.count("*").alias("n"))
-    run = W.partitionBy(*keys)
-    cum = hist.withColumns({"cum": F.sum("n").over(run.orderBy("bin")), "all": F.sum("n").over(run)})
-    return cum.where(F.col("cum") >= F.col("all") * share).groupBy(*keys).agg(F.min("bin").alias("bin"))
-
-
-def _start(ws: Workspace, member: DataFrame) -> DataFrame:
-    """grp, m0.., r0..: medians and scaled median deviations (1/500 resolution)."""
-    step = 500
-    long = member.select("grp", F.expr(f"stack({len(X)}, {', '.join(f'{i}, {x}' for i, x in enumerate(X))}) as (dim, x)"))
-    med = ws.write(_low_quantile(long.select("grp", "dim", F.round(F.col("x") * step).cast("long").alias("bin")), ["grp", "dim"], 0.5), "medians")
-    centred = long.join(med.withColumnRenamed("bin", "mid"), ["grp", "dim"])
-    dev = _low_quantile(centred.select("grp", "dim", F.round(F.abs(F.col("x") * step - F.col("mid"))).cast("long").alias("bin")), ["grp", "dim"], 0.5)
-    both = med.withColumnRenamed("bin", "mid").join(dev, ["grp", "dim"])
-    pick = lambda i, c: F.max(F.when(F.col("dim") == i, c))
-    return both.groupBy("grp").agg(
-        *[pick(i, F.col("mid") / step).alias(f"m{i}") for i in range(len(X))],
-        *[pick(i, F.greatest(F.col("bin") * 1.4826 / step, F.lit(FLOORS[i]))).alias(f"l{i}{i}") for i in range(len(X))],
-        *[F.lit(0.0).alias(f"l{i}{j}") for i in range(len(X)) for j in range(i)],
-    )
+def _small(ws: Workspace, params: DataFrame, name: str) -> DataFrame:
+    """Write a table of a row a group into few files: Spark decides by their size whether it broadcasts it."""
+    return ws.write(params.coalesce(4), name)
 
 
-def squared_distance() -> Column:
-    """Mahalanobis distance from mean m and Cholesky factor l, by forward substitution."""
-    y: list[Column] = []
-    for i, x in enumerate(X):
-        rest = F.col(x) - F.col(f"m{i}")
-        for j in range(i):
-            rest = rest - F.col(f"l{i}{j}") * y[j]
-        y.append(rest / F.col(f"l{i}{i}"))
-    total = y[0] * y[0]
-    for v in y[1:]:
-        total = total + v * v
-    return total
+def _medians(rows: DataFrame, key: str, columns: dict[str, Column]) -> DataFrame:
+    """Lower medians by sketches."""
+    return rows.groupBy(key).agg(F.count("*").alias("n"), *[F.percentile_approx(c, 0.5, ACCURACY).alias(name) for name, c in columns.items()])
+
+
+def group_bases(ws: Workspace, fit_on: DataFrame) -> DataFrame:
+    """pair, n, words (median), medians m, deviations s, and the prior: centre l and variances t of the language."""
+    levels = fit_on.select(F.explode(F.array("pair", "lang_key", F.lit("all"))).alias("key"), "n_words", *X)
+    middle = _small(ws, _medians(levels, "key", {"words": F.col("n_words"), **{f"m{i}": F.col(x) for i, x in enumerate(X)}}), "medians")
+    spread = _medians(levels.join(middle.drop("n", "words"), "key"), "key", {f"s{i}": F.abs(F.col(x) - F.col(f"m{i}")) for i, x in enumerate(X)})
+    scaled = [F.greatest(F.col(f"s{i}") * 1.4826, F.lit(RESOLUTION[i])).alias(f"s{i}") for i in D]
+    level = _small(ws, middle.join(spread.select("key", *scaled), "key"), "levels")
+    named = lambda own, prefix: level.select(F.col("key").alias(own), *[F.col(c).alias(prefix + c) for c in level.columns if c != "key"])
+    pairs = fit_on.select("pair", "lang_key").distinct().withColumn("all_key", F.lit("all"))
+    joined = pairs.join(named("pair", ""), "pair").join(named("lang_key", "l_"), "lang_key").join(named("all_key", "a_"), "all_key")
+    lean = lambda own, other: (F.col("l_n") * own + PRIOR * other) / (F.col("l_n") + PRIOR)
+    centre = [lean(F.col(f"l_m{i}"), F.col(f"a_m{i}")).alias(f"l{i}") for i in D]
+    target = [lean(F.col(f"l_s{i}") * F.col(f"l_s{i}"), F.col(f"a_s{i}") * F.col(f"a_s{i}")).alias(f"t{i}") for i in D]
+    return _small(ws, joined.select("pair", "n", "words", *[f"m{i}" for i in D], *[f"s{i}" for i in D], *centre, *target), "bases")
+
+
+def _moments(rows: DataFrame, keys: list[str], u: list[Column]) -> DataFrame:
+    """Count, sums u and sums of products w of each group."""
+    named = rows.select(*keys, *[c.alias(f"u{i}") for i, c in enumerate(u)])
+    return named.groupBy(*keys).agg(F.count("*").alias("core"), *[F.sum(f"u{i}").alias(f"u{i}") for i in D], *[F.sum(F.col(f"u{i}") * F.col(f"u{j}")).alias(f"w{i}{j}") for i, j in CELLS])
+
+
+def _parameters(sums: DataFrame, mean: list[Column], cell: dict[tuple[int, int], Column], *more: str) -> DataFrame:
+    """pair, start, the regularised centre c, Cholesky factor k and log determinant; ``sums`` has the bases' columns."""
+    prior = F.lit(float(PRIOR)) / (F.col("n") + PRIOR)
+    out = sums.select(
+        "pair", "start", *more, *[(mean[i] * (1 - prior) + F.col(f"l{i}") * prior).alias(f"c{i}") for i in D],
+        *[(cell[i, j] * (1 - prior) + (F.col(f"t{i}") * prior if i == j else F.lit(0.0))).alias(f"v{i}{j}") for i, j in CELLS],
+    )
+    for i, j in CELLS:
+        rest = F.col(f"v{i}{j}")
+        for k in range(j):
+            rest = rest - F.col(f"k{i}{k}") * F.col(f"k{j}{k}")
+        out = out.withColumn(f"k{i}{j}", F.sqrt(F.greatest(rest, F.lit(1e-12))) if i == j else rest / F.col(f"k{j}{j}"))
+    determinant = sum((F.log(f"k{i}{i}") for i in D[1:]), F.log("k00"))
+    return out.select("pair", "start", *[f"c{i}" for i in D], *[f"k{i}{j}" for i, j in CELLS], determinant.alias("determinant"), *more)
+
+
+def _starts(ws: Workspace, fit_on: DataFrame, bases: DataFrame, factor: float) -> DataFrame:
+    """The five starts of every pair."""
+    scores = fit_on.join(bases, "pair").select("pair", *[((F.col(x) - F.col(f"m{i}")) / F.col(f"s{i}")).alias(f"z{i}") for i, x in enumerate(X)])
+    z = [F.col(f"z{i}") for i in D]
+    norm = sum((c * c for c in z[1:]), z[0] * z[0])
+    half = F.lit(chi_square_above(0.5, len(X)))
+    kinds = {
+        1: [F.tanh(c) for c in z],
+        2: [c / F.sqrt(F.greatest(norm, F.lit(1e-12))) for c in z],
+        3: [F.greatest(F.lit(-2.0), F.least(F.lit(2.0), c)) for c in z],
+        4: [F.when(norm <= half, c) for c in z],
+    }
+    every = F.explode(F.array(*[F.struct(F.lit(k).alias("start"), *[c.alias(f"z{i}") for i, c in enumerate(u)]) for k, u in kinds.items()]))
+    each = scores.select("pair", every.alias("e")).select("pair", "e.*").where("z0 is not null")
+    sums = _small(ws, _moments(each, ["pair", "start"], z), "scores")
+    known = bases.withColumn("start", F.explode(F.array(*map(F.lit, range(5))))).join(sums, ["pair", "start"], "left")
+    core = F.greatest(F.coalesce("core", F.lit(0)), F.lit(1))
+    is_half = F.col("start") == 4
+    inner = [F.coalesce(F.col(f"u{i}") / core, F.lit(0.0)) for i in D]
+    mean = [F.col(f"m{i}") + F.when(is_half, inner[i] * F.col(f"s{i}")).otherwise(0.0) for i in D]
+    cell = {}
+    for i, j in CELLS:
+        product = F.coalesce(F.col(f"w{i}{j}"), F.lit(0.0))
+        alike = F.lit(1.0) if i == j else F.when(F.col("start") == 0, 0.0).otherwise(product / F.sqrt(F.greatest(F.col(f"w{i}{i}"), F.lit(1e-12)) * F.greatest(F.col(f"w{j}{j}"), F.lit(1e-12))))
+        cell[i, j] = F.when(is_half, (product / core - inner[i] * inner[j]) * factor).otherwise(F.coalesce(alike, F.lit(0.0))) * F.col(f"s{i}") * F.col(f"s{j}")
+    return _small(ws, _parameters(known, mean, cell), "start")
 
 
 def _with_distance(df: DataFrame) -> DataFrame:
-    """Adds d2 in steps, so that no term is expanded more than once."""
-    d = len(X)
+    """Adds d2, the squared Mahalanobis distance by forward substitution, in steps, so that no term is expanded more than once."""
     for i, x in enumerate(X):
-        rest = F.col(x) - F.col(f"m{i}")
+        rest = F.col(x) - F.col(f"c{i}")
         for j in range(i):
-            rest = rest - F.col(f"l{i}{j}") * F.col(f"y{j}")
-        df = df.withColumn(f"y{i}", rest / F.col(f"l{i}{i}"))
-    return df.withColumn("d2", sum((F.col(f"y{i}") * F.col(f"y{i}") for i in range(1, d)), F.col("y0") * F.col("y0")))
-
-
-def _refit(rows: DataFrame) -> DataFrame:
-    """grp, rows, mean and Cholesky factor of the regularised covariance over ``rows``."""
-    d = range(len(X))
-    sums = rows.groupBy("grp").agg(
-        F.count("*").alias("rows"),
-        *[F.avg(x).alias(f"m{i}") for i, x in enumerate(X)],
-        *[F.covar_pop(X[i], X[j]).alias(f"c{i}{j}") for i in d for j in range(i + 1)],
-    )
-    for i in d:
-        for j in range(i + 1):
-            cell = F.col(f"c{i}{j}") * CONSISTENCY + (F.lit(FLOORS[i] ** 2) if i == j else F.lit(0.0))
-            for k in range(j):
-                cell = cell - F.col(f"l{i}{k}") * F.col(f"l{j}{k}")
-            sums = sums.withColumn(f"l{i}{j}", F.sqrt(F.greatest(cell, F.lit(1e-9))) if i == j else cell / F.col(f"l{j}{j}"))
-    return sums.select("grp", "rows", *[f"m{i}" for i in d], *[f"l{i}{j}" for i in d for j in range(i + 1)])
-
-
-def robust_estimates(ws: Workspace, stats: DataFrame, steps: int = 3, support: float = SUPPORT, min_group: int = MIN_GROUP) -> DataFrame:
-    """pair, mean and Cholesky factor of the estimate that judges it; from rows that pass the fixed rules."""
-    groups = ws.write(_groups(stats, min_group), "groups")
-    fit_on = stats.where("not base_failed").select("pair", *X)
-    params = ws.write(_start(ws, fit_on.join(groups, "pair")), "start")
+            rest = rest - F.col(f"k{i}{j}") * F.col(f"y{j}")
+        df = df.withColumn(f"y{i}", rest / F.col(f"k{i}{i}"))
+    return df.withColumn("d2", sum((F.col(f"y{i}") * F.col(f"y{i}") for i in D[1:]), F.col("y0") * F.col("y0")))
+
+
+def _refit(ws: Workspace, fit_on: DataFrame, bases: DataFrame, params: DataFrame, limit: DataFrame | float, factor: float, name: str) -> DataFrame:
+    """Parameters from the rows within the limit of every pair and start; ``old`` is the determinant before."""
+    tops = params.withColumn("top", F.lit(limit)) if isinstance(limit, float) else params.join(limit, ["pair", "start"])
+    # written, so that Spark knows its size when it plans the join with the rows
+    limited = _small(ws, tops.join(bases.drop("words", *[f"s{i}" for i in D]), "pair").withColumnRenamed("determinant", "old"), f"limited-{name}")
+    near = _with_distance(fit_on.join(limited, "pair")).where("d2 <= top")
+    sums = _moments(near, ["pair", "start"], [F.col(x) - F.col(f"m{i}") for i, x in enumerate(X)])
+    sums = sums.join(limited.select("pair", "start", "n", "old", *[f"{c}{i}" for c in "mlt" for i in D]), ["pair", "start"])
+    inner = [F.col(f"u{i}") / F.col("core") for i in D]
+    mean = [F.col(f"m{i}") + inner[i] for i in D]
+    cell = {(i, j): (F.col(f"w{i}{j}") / F.col("core") - inner[i] * inner[j]) * factor for i, j in CELLS}
+    return _small(ws, _parameters(sums, mean, cell, "old"), f"fit-{name}")
+
+
+def _concentrated(ws: Workspace, fit_on: DataFrame, bases: DataFrame, params: DataFrame, support: float, step: int) -> DataFrame:
+    """One concentration step of every pair and start."""
+    far = _with_distance(fit_on.join(params, "pair"))
+    limit = far.groupBy("pair", "start").agg(F.percentile_approx("d2", support, ACCURACY).alias("top"))
+    return _refit(ws, fit_on, bases, params, limit, consistency(support), str(step))
+
+
+def robust_estimates(ws: Workspace, stats: DataFrame, support: float = SUPPORT, steps: int = STEPS) -> DataFrame:
+    """pair, n, words (median), centre and Cholesky factor of each group's estimate; from rows that pass the fixed rules."""
+    fit_on = stats.where("not base_failed").select("pair", "lang_key", "n_words", *X)
+    bases = group_bases(ws, fit_on)
+    params = _starts(ws, fit_on, bases, consistency(support))
+    settled = params.limit(0).select("pair", "start", *[c for c in params.columns if c not in ("pair", "start")])
     for step in range(steps):
-        by_pair = ws.write(groups.join(params, "grp"), f"params-{step}")
-        near = _with_distance(fit_on.join(by_pair, "pair")).select("grp", "pair", *X, F.floor(F.log2(F.col("d2") + 1e-6) * 32).cast("long").alias("bin"))
-        limit = ws.write(_low_quantile(near, ["grp"], support).withColumnRenamed("bin", "top"), f"limit-{step}")
-        limit_by_pair = ws.write(by_pair.join(limit, "grp"), f"limited-{step}")
-        chosen = _with_distance(fit_on.join(limit_by_pair, "pair")).where(F.floor(F.log2(F.col("d2") + 1e-6) * 32) <= F.col("top"))
-        params = ws.write(_refit(chosen), f"fit-{step}")
-    return ws.write(groups.join(params.where("rows >= 20"), "grp").drop("grp", "rows"), "estimates")
-
-
-def quality_verdicts(spark: SparkSession, docs: DataFrame, cutoff: float = CUTOFF) -> DataFrame:
+        params = _concentrated(ws, fit_on, bases, params.drop("old"), support, step)
+        if step == 1:
+            best = params.groupBy("pair").agg(F.min(F.struct("determinant", "start")).alias("best"))
+            params = _small(ws, params.join(best, "pair").where("start = best.start").drop("best"), "best")
+        if step > 1:
+            moving = F.abs(F.col("determinant") - F.col("old")) >= SETTLED
+            settled = settled.union(params.where(~moving).select(*settled.columns))
+            params = params.where(moving)
+            if params.isEmpty():
+                break
+    raw = _small(ws, settled.union(params.select(*settled.columns)), "raw").drop("old")
+    last = _refit(ws, fit_on, bases, raw, chi_square_above(1 - REWEIGHT, len(X)), consistency(REWEIGHT), "last")
+    # a group whose rows are all outside keeps the raw estimate
+    lone = raw.join(last.select("pair"), "pair", "left_anti")
+    return _small(ws, last.drop("old").unionByName(lone).drop("start", "determinant").join(bases.select("pair", "n", "words"), "pair"), "estimates")
+
+
+def quality_verdicts(spark: SparkSession, docs: DataFrame, tail: float = TAIL) -> DataFrame:
     """doc_id, text_key, the statistics, base_failed, distance2 and kept for every row."""
     ws = Workspace(spark, "quality")
     stats = ws.write(text_statistics(docs), "stats")
     judged = _with_distance(stats.join(robust_estimates(ws, stats), "pair", "left"))
+    distance = F.col("d2") * F.least(F.lit(1.0), F.col("n_words") / F.col("words"))
+    limit = chi_square_above(tail, len(X)) * (1 + len(X) * (len(X) + 1) / F.col("n"))
     return judged.select(
         "doc_id", "text_key", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-        F.col("d2").alias("distance2"),
-        F.when(F.col("base_failed"), False).otherwise(F.coalesce(F.col("d2") <= cutoff, F.lit(True))).alias("kept"),
+        distance.alias("distance2"),
+        F.when(F.col("base_failed"), False).otherwise(distance <= limit).alias("kept"),
     )
 
 

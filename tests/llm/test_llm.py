@@ -1,12 +1,9 @@
 """Every corpus operator against a plain version, and over nulls, empty and repeated rows."""
 
-import base64
-import gzip
 import hashlib
 import random
 import re
 import sys
-import urllib.parse
 import zlib
 from collections import defaultdict
 from pathlib import Path
@@ -18,11 +15,12 @@ import pytest
 sys.path.insert(0, str(Path(__file__).parent))
 
 import corpus_pipeline
-from docmill.llm import encoding, exact_dedup, html_main_text, mixing, packing, passages, quality, secrets, simhash, token_files
+from docmill.llm import encoding, exact_dedup, html_main_text, packing, passages, quality, simhash, token_files
 from docmill.llm.common import Workspace, components
 from docmill.llm.encoding import WordEncoder, vocabulary_path
 from shared import SPACES, corpus, words
 
+
 def test_exact_dedup_equals_plain(spark, docs, empty):
     groups = defaultdict(list)
     for i, (d, t) in enumerate(corpus()):
@@ -193,62 +191,104 @@ def test_hilbert_curve_visits_neighbours():
     assert all(sum(abs(a - b) for a, b in zip(p, q)) == 1 for (_, p), (_, q) in zip(points, points[1:]))
 
 
-def test_secrets_in_layers_map_to_the_text(spark, docs, empty):
-    secret = "password=abcdefghijklmnop"
-    b64 = lambda b: base64.b64encode(b).decode()
-    for hidden in (urllib.parse.quote(secret, safe=""), b64(secret.encode()), b64(gzip.compress(b"see " + secret.encode())), "".join(f"\\u{ord(c):04x}" for c in secret), b64(urllib.parse.quote(b64(secret.encode())).encode())):
-        text = f"é start {hidden} end"
-        base, every = secrets.scan(text)
-        assert any(k == "assign" and 8 <= s and e <= 8 + len(hidden) for k, s, e in every), hidden
-        assert set(base) <= set(every)
-    assert secrets.scan(f"{secret} AKIA" + "A" * 13 + " AKIA" + "B" * 14 + " deadbeefdeadbee deadbeefdeadbeef")[0] == [("assign", 0, 25), ("access", 44, 62), ("hex", 79, 95)]
-    assert secrets.scan("ſecret=abcdefghijklmnop toKen : 'short'") == ([], [])
-    assert secrets.secret_spans(docs).count() == len(corpus()) and secrets.secret_spans(empty).count() == 0
-
-
-def test_secrets_in_nested_streams_members_and_control_characters():
-    import bz2
-    import lzma
-
-    import zstandard
-
-    secret, zstd = b"password=abcdefghijklmnop", zstandard.ZstdCompressor().compress
-    noise = bytes(random.Random(1).choices(b"abcdefgh xyz", k=300))
-    packs = {"gzip": gzip.compress, "zlib": zlib.compress, "bz2": bz2.compress, "xz": lzma.compress, "zstd": zstd}
-    hidden = {f"{a} of {b}": f(g(secret)) for a, f in packs.items() for b, g in packs.items()}
-    hidden |= {f"second of {a}": f(noise) + f(secret) for a, f in packs.items() if a != "zlib"}
-    hidden |= {"third": gzip.compress(zlib.compress(bz2.compress(secret))), "mixed": zstd(noise) + gzip.compress(secret), "skipped frame": zstd(noise) + b"\x50\x2a\x4d\x18\x02\0\0\0ab" + zstd(secret)}
-    hidden |= {"padded": lzma.compress(noise) + bytes(4) + lzma.compress(secret), "broken after": gzip.compress(secret) + gzip.compress(noise)[:12] + b"\xff" * 20}
-    hidden |= {f"control {c}": b"first line " + bytes([c]) + secret for c in (0, 1, 12, 127)} | {"control in gzip": gzip.compress(b"a\0" + secret)}
-    lost = []
-    for name, data in hidden.items():
-        run = base64.b64encode(data).decode()
-        if not any(k == "assign" and 6 <= s < e <= 6 + len(run) for k, s, e in secrets.scan(f"start {run} end")[1]):
-            lost.append(name)
-    assert lost == []
-
-
 def page(body):
     return f"<html><head><title>t</title></head><body>{body}</body></html>"
 
 
 def test_main_text_and_differencing(spark):
-    shared = "<div>Shared line one</div><div>Shared line two</div>"
+    shared = "<div>Shared line number one</div><div>Shared line number two</div>"
     rows = [
         (1, "http://h/a/1", page(f"<nav>menu</nav>{shared}<p>First &amp; own\n text</p><p>More own text of the first page <b>in bold</b>")),
         (2, "http://h/a/2", page(f"{shared}<p>Second page has its own words here, quite a lot of them</p>")),
         (3, "http://g/x", page("<article><h1>Title</h1><p>One<p>Two<div class='comments'><p>reader</p></div></article><footer>foot</footer>")),
         (4, "http://g/y", page("<article><h1>Title</h1><p>One<p>Two</article>")),
         (5, None, None), (6, "", ""), (7, "http://z/1", "<div class=ad>x</div>plain <script>var p='</p>'</script>text"), (7, "http://z/1", "<div class=ad>x</div>plain <script>var p='</p>'</script>text"),
+        (8, "http://t/1", page("<article>teaser</article><p>A long text that stands outside of the short named article.</p>")),
+        (9, "http://u/1", page("<article><p class='lead-promotion-of-science'>Lead of it</p><p id='share-of-votes'>Votes here</p><p class='share-buttons'>no</p></article>")),
     ]
-    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    df = spark.createDataFrame([(*r, "n", "p") for r in rows], "page_id long, url string, html string, lines string, part string")
     expected = {1: "First & own text\nMore own text of the first page in bold", 2: "Second page has its own words here, quite a lot of them", 3: "Title\nOne\nTwo", 4: "Title\nOne\nTwo", 5: "", 6: "", 7: "plain text"}
+    expected |= {8: "teaser\nA long text that stands outside of the short named article.", 9: "Lead of it\nVotes here"}
     for n in (1, 4, 7):  # wherever ranges end
         got = html_main_text.main_text(spark, df, partitions=n).collect()
         assert len(got) == len(rows) and all(r.text == expected[r.page_id] and r.n_chars == len(r.text) for r in got)
     assert html_main_text.main_text(spark, df.limit(0)).count() == 0
 
 
+def plain_main_text(rows):
+    """Two pages before and two after in order of host and path, the lines' longest common subsequences by a full table."""
+
+    def subsequence(a, b):
+        best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i in range(len(a) - 1, -1, -1):
+            for j in range(len(b) - 1, -1, -1):
+                best[i][j] = best[i + 1][j + 1] + 1 if a[i] == b[j] else max(best[i + 1][j], best[i][j + 1])
+        return best[0][0]
+
+    order = sorted(rows, key=lambda r: (*re.match("http://([^/]*)([^?]*)", r[1]).groups(), r[0]))
+    host = lambda r: r[1].split("/")[2]
+    found = {}
+    for i, r in enumerate(order):
+        own = html_main_text.cut_lines(r[2])
+        lines, support, able = [x for _, x in own], [0] * len(own), 0
+        for o in (order[j] for j in (i - 2, i - 1, i + 1, i + 2) if 0 <= j < len(order) and host(order[j]) == host(r)):
+            theirs = [x for _, x in html_main_text.cut_lines(o[2])]
+            n = subsequence(lines, theirs)
+            assert len(html_main_text.common_lines(lines, theirs)) == n
+            if n in (len(lines), len(theirs)):
+                continue
+            places = html_main_text.common_lines(lines, theirs)
+            mine = {w for k, x in enumerate(lines) if k not in places for w in x.split()}
+            back = html_main_text.common_lines(theirs, lines)
+            other = {w for k, x in enumerate(theirs) if k not in back for w in x.split()}
+            if 2 * len(mine & other) >= len(mine | other):
+                continue
+            able += 1
+            for k in places:
+                support[k] += 1
+        left = []
+        for (zone, x), n in zip(own, support):
+            few = len(x.split()) < 3
+            gone = n >= (max(3, able) if zone == 2 else min(2, able) if few else 1) and n > 0 and not (zone == 2 and few)
+            if not gone:
+                left.append((zone, x))
+        sizes = {z: sum(len(x) for y, x in left if y == z) for z in (1, 2)}
+        found[r[0]] = "\n".join(x for z, x in left if z == 2 or not (sizes[2] and sizes[2] >= sizes[1]))
+    return found
+
+
+def test_differencing_equals_plain_and_removes_templates(spark):
+    rng = random.Random(41)
+    rows = []
+    for i in range(120):
+        host = rng.choice("abc")
+        own = [words(rng, rng.randint(1, 20)) for _ in range(rng.randint(1, 6))]
+        if i % 10 == 9:  # a copy of an earlier article, on the same host
+            host, own = rows[-1][1].split("/")[2], copied
+        copied = own
+        menu = "".join(f"<div>Menu of host {host} entry {k}</div>" for k in range(6))
+        inside = "<p>Sign up to the letter</p>"
+        body = "".join(f"<p>{x}</p>" for x in own)
+        rows.append((i, f"http://{host}/{rng.choice('xy')}/{rng.randint(0, 40)}?p=1", page(menu + (f"<article>{body}{inside}</article>" if i % 3 else body + inside) + f"<div>The foot of host {host} is here</div>")))
+    expected = plain_main_text(rows)
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for n in (1, 5, 40):
+        got = {r.page_id: r.text for r in html_main_text.main_text(spark, df, partitions=n).collect()}
+        assert got == expected
+    assert not any("Menu of host" in x or "The foot of" in x for x in expected.values())
+    assert sum("Sign up to" in x for x in expected.values()) < 12  # inside the named article, too
+
+
+def test_markup_is_cut_in_linear_time():
+    import time
+
+    for part in ("<div>", '<a "', "<!", "<p>", "<li>", "<", "<b><div></b>"):
+        started = time.process_time()
+        html_main_text.cut_lines(part * 40_000)
+        assert time.process_time() - started < 5, part
+    assert [x for _, x in html_main_text.cut_lines("a <b title='x>y'>b</b> <!-- c > --> d <i q=\"e>f</i> g")] == ["a b d f g"]
+
+
 def test_common_lines_is_longest():
     rng = random.Random(9)
     for _ in range(200):
@@ -333,22 +373,6 @@ def test_passage_whose_seeds_first_occur_elsewhere(spark, holders):
     assert {(r.doc_id, r.start, r.stop, r.other_id) for r in got} == expected
 
 
-def test_mixing_matches_targets(spark, empty):
-    rng = random.Random(6)
-    common = [f"w{k}" for k in range(150)]
-    rows = [(i, " ".join(rng.choices(common, k=120)) + (" nasty vile" * 8 if i % 7 == 0 else "") + (" ### ***" * 20 if i % 5 == 1 else "")) for i in range(200)]
-    docs = spark.createDataFrame([*rows, (None, None), (0, rows[0][1])], "doc_id long, text string")
-    labels = spark.createDataFrame([(i, 0 if i % 5 == 1 else 1, 1 if i % 7 == 0 else 0) for i in range(0, 200, 2)] + [(None, 1, 0), (3, None, None), (9999, 1, 1)], "doc_id long, quality int, toxic int")
-    got = mixing.mixing_rates(spark, docs, labels, {"good": 0.7, "poor": 0.25, "toxic": 0.05}).collect()
-    total = sum(r.tokens for r in got)
-    for d, share in (("good", 0.7), ("poor", 0.25), ("toxic", 0.05)):
-        assert sum(r.rate * r.tokens * r[f"p_{d}"] for r in got) / total == pytest.approx(share, abs=1e-3)
-    assert all(r.rate >= 0 and r.copies in (int(r.rate), int(r.rate) + 1) for r in got)
-    toxic = [r.p_toxic > 0.5 for r in got if r.doc_id is not None and r.doc_id % 2 and r.doc_id % 7 == 0]
-    assert sum(toxic) >= 0.9 * len(toxic)  # documents without a label in training
-    assert mixing.mixing_rates(spark, empty, labels, mixing.QUERY_WEIGHTS).count() == 0
-
-
 def test_pipeline_stages_keep_columns_and_drop_copies(spark, tmp_path):
     rng = random.Random(8)
     clean = [(i, words(rng, 150), "en", "s", 1) for i in range(40)]
