@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import html as entities
+import io
 import re
 import unicodedata
 from collections.abc import Iterator
@@ -11,12 +12,17 @@ from html.parser import HTMLParser
 import pandas as pd
 from pyspark.sql import functions as F
 
+from . import text as text_patterns
+
+# Names and labels that the pages' producers use.
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 DROPPED = frozenset("script style noscript".split())
 CLOSED_BY = {"p": frozenset("p div table ul ol h1 h2 h3 h4 h5 h6 section article footer header nav form".split()), "li": frozenset(["li"]), "td": frozenset("td th tr".split()), "th": frozenset("td th tr".split()), "tr": frozenset(["tr"]), "option": frozenset(["option"])}
 LABELS = ("PARTIES", "DIVISION", "SUBJECT", "BACKGROUND", "DECISION")
 HEARING = re.compile(r"(?:hearing\s+(?:took\s+place|was\s+held|convened)|held\s+a\s+hearing)[^.]{0,80}?on\s+(?:the\s+)?", re.IGNORECASE)
-REPRESENTED = re.compile(r"\(\s*REPRESENTED\s+BY\s+([^)]+?)\s*\)", re.IGNORECASE)
+REPRESENTED = re.compile(text_patterns.REPRESENTED)
+#: Lines beside a signature that are no name.
+NOT_SIGNATORIES = ("cc", "chairman", "deputy chairman", "signed on behalf of the labour court")
 
 
 class Node:
@@ -46,11 +52,24 @@ class Node:
         return name in self.attrs.get("class", "").split()
 
     def markup(self) -> str:
-        return "".join(entities.escape(c, quote=False) if isinstance(c, str) else c.outer() for c in self.children)
-
-    def outer(self) -> str:
-        attrs = "".join(f' {k}="{entities.escape(v)}"' for k, v in self.attrs.items())
-        return f"<{self.name}{attrs}/>" if self.name in VOID else f"<{self.name}{attrs}>{self.markup()}</{self.name}>"
+        """The children as HTML; nesting of any depth."""
+        out: list[str] = []
+        todo: list = list(reversed(self.children))
+        while todo:
+            item = todo.pop()
+            if isinstance(item, tuple):
+                out.append(item[0])
+            elif isinstance(item, str):
+                out.append(entities.escape(item, quote=False))
+            else:
+                attrs = "".join(f' {k}="{entities.escape(v)}"' for k, v in item.attrs.items())
+                if item.name in VOID:
+                    out.append(f"<{item.name}{attrs}/>")
+                else:
+                    out.append(f"<{item.name}{attrs}>")
+                    todo.append((f"</{item.name}>",))
+                    todo += reversed(item.children)
+        return "".join(out)
 
 
 class _Builder(HTMLParser):
@@ -169,32 +188,41 @@ def _signatory(tables: list[Node]) -> str | None:
             continue
         for node in table.walk():
             name = node.text() if node.name in ("b", "strong") else ""
-            if len(name) >= 3 and "_" not in name and name.lower() not in ("cc", "chairman", "deputy chairman", "signed on behalf of the labour court"):
+            if len(name) >= 3 and "_" not in name and name.lower() not in NOT_SIGNATORIES:
                 return name
     return None
 
 
+EMPTY_PAGE = {"clean": None, "text": None, "body_text": None, "error": None, "message": None, "subject": "", "parties": {"complainant": None, "respondent": None, "representatives": []}, "division_members": [], "tables": [], "signatory": None, "hearing_tails": []}
+
+
 def read_page(payload: bytes | None, title: str | None, selectors: tuple[str, ...]) -> dict:
-    """Everything that the tree gives; ``error`` is set instead of raising."""
-    empty = {"clean": None, "text": None, "body_text": None, "error": "content_not_found", "subject": "", "parties": {"complainant": None, "respondent": None, "representatives": []}, "division_members": [], "tables": [], "signatory": None, "hearing_tails": []}
+    """Everything that the tree gives; ``error`` (content_not_found, page_unreadable) is set instead of raising."""
+    try:
+        return _read_page(payload, title, selectors)
+    except (ValueError, RecursionError, AssertionError) as fault:  # what markup can provoke in a parser; a bad page fails alone
+        return EMPTY_PAGE | {"error": "page_unreadable", "message": f"{type(fault).__name__}: {fault}"[:200]}
+
+
+def _read_page(payload: bytes | None, title: str | None, selectors: tuple[str, ...]) -> dict:
     root = parse((payload or b"").decode("utf-8", "replace"))
     found = next((n for n in (select(root, s) for s in selectors) if n is not None), None)
     if found is None:
-        return empty
+        return EMPTY_PAGE | {"error": "content_not_found", "message": f"no element matches {', '.join(selectors)}"}
     prune(found)
     head = entities.escape(title or "", quote=True).replace("&#x27;", "'")
     clean = f'<!DOCTYPE html>\n<html><head><meta charset="utf-8"><title>{head}</title></head><body>{found.markup()}</body></html>'
     whole = parse(clean)
     hosts, body = _label_hosts(whole), whole.text()
     tables = [n for n in whole.walk() if n.name == "table"]
-    return {
-        "clean": clean.encode(), "text": plain_text(whole), "body_text": body, "error": None, "subject": _subject(hosts.get("SUBJECT"), hosts), "parties": _parties(hosts.get("PARTIES")),
+    return EMPTY_PAGE | {
+        "clean": clean.encode(), "text": plain_text(whole), "body_text": body, "subject": _subject(hosts.get("SUBJECT"), hosts), "parties": _parties(hosts.get("PARTIES")),
         "division_members": _division(hosts.get("DIVISION")), "tables": [t.text() for t in tables], "signatory": _signatory(tables), "hearing_tails": [body[m.end() : m.end() + 60] for m in HEARING.finditer(body)],
     }
 
 
 PAGE = (
-    "struct<clean: binary, text: string, body_text: string, error: string, subject: string, parties: struct<complainant: string, respondent: string, representatives: array<string>>, "
+    "struct<clean: binary, text: string, body_text: string, error: string, message: string, subject: string, parties: struct<complainant: string, respondent: string, representatives: array<string>>, "
     "division_members: array<struct<role: string, name: string>>, tables: array<string>, signatory: string, hearing_tails: array<string>>"
 )
 
@@ -209,14 +237,26 @@ def page_reader(selectors: tuple[str, ...] = ("div.col-sm-9", "div.content")):
     return read
 
 
-def pdf_text(payload: bytes | None) -> str | None:
-    """Text of a PDF; null without a parser, for unreadable and for empty files."""
-    try:
-        import io
+try:
+    from pypdf import PdfReader
+except ImportError:  # an optional parser
+    PdfReader = None
 
-        from pypdf import PdfReader
 
-        pages = [p.extract_text() or "" for p in PdfReader(io.BytesIO(payload or b"")).pages]
-    except Exception:  # an optional parser, and files of any kind
+def pdf_text(payload: bytes | None, reader=None) -> str | None:
+    """Text of a PDF in NFC, pages that fail left out; null without a parser, for unreadable and for empty files."""
+    reader = reader or PdfReader
+    if reader is None:
         return None
-    return "\n\n".join(x for x in pages if x.strip()) or None
+    try:
+        pages = list(reader(io.BytesIO(payload or b"")).pages)
+    except Exception:  # noqa: BLE001  files of any kind
+        return None
+    texts = []
+    for page in pages:
+        try:
+            texts.append(page.extract_text() or "")
+        except Exception:  # noqa: BLE001  a page that fails is left out
+            continue
+    text = unicodedata.normalize("NFC", "\n\n".join(x for x in texts if x.strip()))
+    return re.sub(r"\n{3,}", "\n\n", re.sub(r"[ \t]+", " ", text)).strip() or None

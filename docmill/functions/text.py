@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# They must equal those of the data's producers.
+# They must equal those of the data's producers.  Digits are spelled [0-9]: amounts and
+# dates are cast by the JVM, which reads ASCII digits only, so a wider class would find what no cast accepts.
 VOLATILE_COMMENTS = (r"(?s)<!--\s*Elapsed time:[^>]*?-->", r"(?s)<!--\s*cached or not being index\.aspx page\s*-->")
 EXTENSIONS = {
     "text/html": "html",
@@ -17,7 +18,6 @@ MONTHS = ("january", "february", "march", "april", "may", "june", "july", "augus
 DECISION_KEYWORDS = {"appeal": "Appeal", "enforcement": "Enforcement", "industrial relations": "Industrial Relations Referral", "complaint": "Complaint"}
 ACT = r"([A-Z][A-Za-z'()\- ,&]{2,80}?Acts?\s+(?:19|20)[0-9]{2}(?:\s+to\s+(?:19|20)[0-9]{2})?)"
 MONEY = r"€\s*([0-9]{1,3}(?:[,\s][0-9]{3})*(?:\.[0-9]+)?)"
-MONEY_LENIENT = r"€\s*([0-9]+(?:[,\s][0-9]{3})*(?:\.[0-9]+)?)"
 REPRESENTED = r"(?i)\(\s*REPRESENTED\s+BY\s+([^)]+?)\s*\)"
 SHORT_DATE = r"\b([0-9]{1,2}[/\-][0-9]{1,2}[/\-][0-9]{4})\b"
 OFFICER = (r"Adjudication\s+Officer\s*[:\-]\s*([A-Z][A-Za-z' .\-]{2,80}?)(?=[.\s]|$)", r"Adjudicator\s*[:\-]\s*([A-Z][A-Za-z' .\-]{2,80}?)(?=[.\s]|$)")
@@ -88,8 +88,8 @@ def acts_cited(text: Column) -> Column:
     return first_of_each(F.filter(found, lambda a: F.length(a) >= 8), F.lower)
 
 
-def money_amounts(text: Column, lenient: bool = False) -> Column:
-    found = F.regexp_extract_all(text, F.lit("(?U)" + (MONEY_LENIENT if lenient else MONEY)), F.lit(1))
+def money_amounts(text: Column) -> Column:
+    found = F.regexp_extract_all(text, F.lit("(?U)" + MONEY), F.lit(1))
     return F.array_distinct(F.transform(found, lambda a: F.regexp_replace(a, r"(?U)[,\s]", "").try_cast("double")))
 
 
@@ -179,3 +179,30 @@ def further_pages(total: Column, size: int = 10) -> Column:
 def is_document_link(href: Column) -> Column:
     path = F.lower(F.split_part(F.split_part(href, F.lit("?"), F.lit(1)), F.lit("#"), F.lit(1)))
     return F.regexp_like(path, F.lit(r"\.(pdf|doc|docx)$"))
+
+
+#: Statuses worth another attempt, as the data's producers answer them.
+RETRY_STATUSES = (403, 408, 429, 500, 502, 503, 504, 520, 521, 522, 523, 524)
+
+
+def is_retryable(status: Column) -> Column:
+    return status.isin(*RETRY_STATUSES)
+
+
+def failure_reason(error_class: Column) -> Column:
+    """A stable label for the class of a store's error; null stays null."""
+    return F.when(error_class.isNull(), None).when(error_class.isin("S3Error", "MinioException"), "minio_write_failed").when(error_class.endswith("PyMongoError") | error_class.isin("BulkWriteError", "DuplicateKeyError"), "mongo_write_failed").otherwise("pipeline_exception")
+
+
+def truncated(message: Column, length: int = 200) -> Column:
+    return F.substring(message, 1, length)
+
+
+def aggregate_concurrency(target: Column, workers: Column) -> Column:
+    return F.round(target * workers, 1)
+
+
+def items_on_page(html: Column) -> Column:
+    """Lines of a listing page that open an item (the count by which page sizes are probed)."""
+    lines = F.split(html, "\n")
+    return F.size(F.filter(lines, lambda x: F.regexp_like(x, F.lit(r'<li[^>]*class="[^"]*each-item[^"]*"')))).cast("long")

@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import BODIES
+from ..config import BODIES, EngineConfig
 from ..functions import dom
 from ..functions import text as tx
-from ..operators import calendar, changes, summaries, validation
+from ..operators import calendar, changes, checks, summaries, validation
+from ..sources import events, pages
+from ..storage import Work
+from ..streaming import ingest
+from . import transform as tr
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -67,12 +71,6 @@ def reconcile_counters(spark, d):
 def throughput_by_day(spark, d):
     return t(spark, d, "events").groupBy(iso("ts").alias("day")).agg(F.count("*").alias("n")).select("day", "n", summaries.per_minute(F.col("n"), F.lit(86400.0)).alias("per_minute"))
 
-
-@query("select event_type, epoch(max(ts)) - epoch(min(ts)) as wall_seconds from events group by all")
-def wall_seconds(spark, d):
-    return t(spark, d, "events").groupBy("event_type").agg(((F.unix_micros(F.max("ts").cast("timestamp")) - F.unix_micros(F.min("ts").cast("timestamp"))) / 1e6).alias("wall_seconds"))
-
-
 @query("select event_type, count(*) as n, cast(sum(cast(json_extract(props, '$.k') as bigint)) as bigint) as k from events where event_type in ('click', 'view', 'purchase') group by all")
 def event_counts(spark, d):
     return t(spark, d, "events").where(F.col("event_type").isin("click", "view", "purchase")).groupBy("event_type").agg(F.count("*").alias("n"), F.sum(F.get_json_object("props", "$.k").cast("long")).alias("k"))
@@ -104,13 +102,6 @@ def body_slug(spark, d):
     return t(spark, d, "nation").select("n_nationkey", tx.body_slug(F.col("n_name")).alias("slug"))
 
 
-_CT = "case doc_id % 5 when 0 then ' Text/HTML ; charset=utf-8' when 1 then 'application/pdf' when 2 then 'application/msword' when 3 then 'image/png' end"
-
-
-@query(f"with c as (select doc_id, lower(trim(split_part({_CT}, ';', 1))) as k from documents) select doc_id, case k when 'text/html' then 'html' when 'application/pdf' then 'pdf' when 'application/msword' then 'doc' end as ext from c")
-def content_type_ext(spark, d):
-    return t(spark, d, "documents").select("doc_id", tx.extension(F.expr(_CT)).alias("ext"))
-
 
 @query("select doc_id, source || '/' || '2024-07' || '/' || 'D' || doc_id || '-' || substr(sha256(text), 1, 12) || '.html' as landing_key, source || '/D' || doc_id || '.txt' as text_key from documents")
 def object_keys(spark, d):
@@ -129,14 +120,6 @@ def _page_hash(c):
 def canonical_hash(spark, d):
     return t(spark, d, "pages").select("page_id", _page_hash("html").alias("file_hash"), F.octet_length("html").cast("long").alias("file_size"))
 
-
-@query("select page_id, 1::bigint as hashes from pages")
-def volatile_variants_one_hash(spark, d):
-    p = t(spark, d, "pages")
-    variants = F.explode(F.array(F.col("html"), F.concat("html", F.lit("<!-- ad 1 -->")), F.concat("html", F.lit("<!-- ad\n22 -->"))))
-    return p.select("page_id", variants.alias("v")).groupBy("page_id").agg(F.count_distinct(_page_hash("v")).alias("hashes"))
-
-
 @query("""select case when page_id % 4 = 0 then 'inserted' when page_id % 4 = 1 then 'updated' else 'unchanged' end as outcome, count(*) as n from pages group by all""")
 def change_classes(spark, d):
     p = t(spark, d, "pages").select(F.concat(F.lit("P"), F.col("page_id").cast("string")).alias("identifier"), "page_id", "html")
@@ -144,60 +127,14 @@ def change_classes(spark, d):
     items = p.select("identifier", F.sha2("html", 256).alias("file_hash"), F.octet_length("html").alias("size"), F.lit("html").alias("ext"), F.lit(0).alias("seq"))
     return changes.classify(items, known, ["seq"]).groupBy("outcome").agg(F.count("*").alias("n"))
 
-
-@query("""select conv_id, turn, case when row_number() over w = 1 then 'inserted' when lag(role) over w = role then 'unchanged' else 'updated' end as outcome from conversations window w as (partition by conv_id order by turn)""")
-def in_run_sequence(spark, d):
-    c = t(spark, d, "conversations").select(F.col("conv_id").alias("identifier"), "turn", F.col("role").alias("file_hash"), F.lit(1).alias("size"), F.lit("html").alias("ext"))
-    none = spark.createDataFrame([], "identifier long, file_hash string")
-    return changes.classify(c, none, ["turn"]).select(F.col("identifier").alias("conv_id"), "turn", "outcome")
-
-
-@query("select o_orderkey, o_orderstatus, strftime(o_orderdate, '%Y-%m-%d') as day from orders where o_orderdate between timestamp '1996-01-01' and timestamp '1996-03-31' and o_orderstatus in ('F', 'O')")
-def range_body_filter(spark, d):
-    o = t(spark, d, "orders").where(F.col("o_orderdate").between("1996-01-01", "1996-03-31") & F.col("o_orderstatus").isin("F", "O"))
-    return o.select("o_orderkey", "o_orderstatus", iso("o_orderdate").alias("day"))
-
-
 @query("select user_id, arg_max(value, (ts, event_id)) as last_value from events group by all")
 def latest_per_identifier(spark, d):
     return t(spark, d, "events").groupBy("user_id").agg(F.max_by("value", F.struct("ts", "event_id")).alias("last_value"))
 
-
-@query("""select d.doc_id, coalesce(l.quality = 1 and l.toxic = 0, false) as skip from documents d left join labels l using (doc_id)""")
-def fast_path_split(spark, d):
-    l = t(spark, d, "labels")  # noqa: E741
-    return t(spark, d, "documents").join(l, "doc_id", "left").select("doc_id", F.coalesce((F.col("quality") == 1) & (F.col("toxic") == 0), F.lit(False)).alias("skip"))
-
-
-@query("""select case when n_chars < 1024 then 'quarantined' when doc_id % 3 = 0 then 'unchanged' else 'transformed' end as outcome, count(*) as n from documents group by all""")
-def slow_path_split(spark, d):
-    rows = t(spark, d, "documents").select("n_chars", F.sha2("text", 256).alias("new"), F.when(F.col("doc_id") % 3 == 0, F.sha2("text", 256)).alias("old"))
-    outcome = F.when(F.col("n_chars") < 1024, "quarantined").when(F.col("old") == F.col("new"), "unchanged").otherwise("transformed")
-    return rows.select(outcome.alias("outcome")).groupBy("outcome").agg(F.count("*").alias("n"))
-
-
-@query("""select c_custkey, case when s.k is not null then s.bal else c_acctbal end as balance, case when c_custkey % 3 = 0 and s.k is not null then 2 when s.k is not null and c_custkey is not null then 1 else 1 end as first_seen
-    from (select * from customer where c_custkey % 7 <> 0) c full join (select c_custkey as k, c_acctbal + 1 as bal from customer where c_custkey % 2 = 0) s on s.k = c.c_custkey where c_custkey is not null
-    and false union all select coalesce(a.c_custkey, b.c_custkey), case when b.c_custkey is not null then b.c_acctbal + 1 else a.c_acctbal end, case when a.c_custkey is not null then 1 else 2 end
-    from (select * from customer where c_custkey % 7 <> 0) a full join (select * from customer where c_custkey % 2 = 0) b on a.c_custkey = b.c_custkey""")
-def upsert_snapshot(spark, d):
-    c = t(spark, d, "customer")
-    old = c.where("c_custkey % 7 <> 0").select("c_custkey", F.col("c_acctbal").alias("balance"), F.lit(1).alias("first_seen"))
-    new = c.where("c_custkey % 2 = 0").select("c_custkey", (F.col("c_acctbal") + 1).alias("balance"), F.lit(2).alias("first_seen"))
-    return changes.merge(old, new, "c_custkey", ("first_seen",))
-
-
 @query("select doc_id from documents where n_chars < 1024 and doc_id not in (select doc_id from labels)")
 def quarantine_antijoin(spark, d):
     return t(spark, d, "documents").where("n_chars < 1024").join(t(spark, d, "labels").select("doc_id"), "doc_id", "left_anti").select("doc_id")
 
-
-@query("select count(*) as both_places from (select doc_id from documents where n_chars < 1024 intersect select doc_id from documents where n_chars >= 1024)")
-def exactly_one_place(spark, d):
-    x = t(spark, d, "documents")
-    return x.where("n_chars < 1024").select("doc_id").intersect(x.where("n_chars >= 1024").select("doc_id")).agg(F.count("*").alias("both_places"))
-
-
 def _records(spark, d):
     x = t(spark, d, "documents")
     bad = lambda n, v, good: F.when(F.col("doc_id") % 11 == n, v).otherwise(good)
@@ -231,25 +168,6 @@ def date_coercion(spark, d):
     s = F.expr("case doc_id % 4 when 0 then concat(doc_id % 31 + 1, '/', doc_id % 14 + 1, '/2024') when 1 then concat('2024-02-', lpad(cast(doc_id % 31 + 1 as string), 2, '0')) when 2 then 'soon' end")
     return t(spark, d, "documents").select("doc_id", iso(tx.decision_date(s)).alias("day"))
 
-
-@query("""select doc_id, strftime(try_strptime((doc_id % 28 + 1) || '/07/2025', '%d/%m/%Y'), '%Y-%m-%d') as day from documents""")
-def last_short_date(spark, d):
-    s = F.expr("concat('on 01-02-2024 and ', doc_id % 28 + 1, '/07/2025, not 31/02/2024 ', left(text, 5))")
-    return t(spark, d, "documents").select("doc_id", iso(tx.last_short_date(s)).alias("day"))
-
-
-@query("""select doc_id, [cast(doc_id % 900 + 1 as double) * 1000 + 250, 26000.0 + 0, 260.0] as amounts from documents where doc_id % 900 <> 25""")
-def money_amounts(spark, d):
-    s = F.expr("concat('€', doc_id % 900 + 1, ',250 then € 26,000 and €26,000 and €26000 ', replace(left(text, 9), '€', ''))")
-    return t(spark, d, "documents").where("doc_id % 900 <> 25").select("doc_id", tx.money_amounts(s).alias("amounts"))
-
-
-@query("""select doc_id, ['Workplace Relations Act ' || (1990 + doc_id % 30), 'Terms of Employment (Information) Act 1994'] as acts from documents""")
-def acts_cited(spark, d):
-    s = F.expr("concat('see the Workplace Relations Act ', 1990 + doc_id % 30, '; THE Terms of Employment (Information) Act 1994; Terms  of Employment (Information) Act 1994.')")
-    return t(spark, d, "documents").select("doc_id", F.transform(tx.acts_cited(s), lambda a: F.regexp_replace(a, "^THE ", "")).alias("acts")).select("doc_id", tx.first_of_each(F.col("acts")).alias("acts"))
-
-
 @query("""with s as (select doc_id, lower(case doc_id % 5 when 0 then 'An Appeal' when 1 then 'Complaint form' when 2 then 'Industrial Relations Act' else '' end) as a, lower(text || case when doc_id % 2 = 0 then ' enforcement ' else '' end) as b from documents)
     select doc_id, coalesce(case when contains(a, 'appeal') then 'Appeal' when contains(a, 'enforcement') then 'Enforcement' when contains(a, 'industrial relations') then 'Industrial Relations Referral' when contains(a, 'complaint') then 'Complaint' end,
     case when contains(b, 'appeal') then 'Appeal' when contains(b, 'enforcement') then 'Enforcement' when contains(b, 'industrial relations') then 'Industrial Relations Referral' when contains(b, 'complaint') then 'Complaint' end) as kind from s""")
@@ -258,20 +176,6 @@ def decision_type(spark, d):
     body = F.expr("concat(text, case when doc_id % 2 = 0 then ' enforcement ' else '' end)")
     return t(spark, d, "documents").select("doc_id", tx.decision_type(subject, body).alias("kind"))
 
-
-@query("select doc_id, ['IBEC ' || doc_id, 'SIPTU'] as reps, 'A Company' as party from documents")
-def representatives(spark, d):
-    s = F.expr("concat('A Company (Represented by IBEC ', doc_id, ')')")
-    both = F.concat(s, F.lit(" ( REPRESENTED  BY SIPTU ) (represented by SIPTU)"))
-    return t(spark, d, "documents").select("doc_id", tx.representatives(both).alias("reps"), tx.without_representatives(s).alias("party"))
-
-
-@query("select doc_id, case when doc_id % 2 = 0 then 'IR-SC-' || doc_id else 'T' || doc_id end as identifier from documents")
-def identifier_normalise(spark, d):
-    ref = F.expr("case when doc_id % 2 = 0 then concat(' IR - SC - ', doc_id, ' ') else '  ' end")
-    return t(spark, d, "documents").select("doc_id", tx.identifier(ref, F.expr("concat('T ', doc_id)")).alias("identifier"))
-
-
 @query(r"""select page_id, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(html, '<script\b[^>]*>.*?</script\s*>', '', 'gis'), '<style\b[^>]*>.*?</style\s*>', '', 'gis'), '<!--.*?-->', '', 'gs'), '<[^>]+>', ' ', 'g'), '[ \t]+', ' ', 'g'), E' \n') as text from pages""")
 def html_strip(spark, d):
     x = F.col("html")
@@ -284,13 +188,6 @@ def html_strip(spark, d):
 def text_normalise(spark, d):
     return t(spark, d, "documents").select("doc_id", tx.normalised_text(F.concat(F.lit("\n "), F.replace("text", F.lit(" "), F.lit(" \t")), F.lit("\n\n\n\nend \n"))).alias("text"))
 
-
-@query("select doc_id, page from (select doc_id, unnest(generate_series(2, cast(ceil(n_chars / 10.0) as bigint))) as page from documents where n_chars > 10 and n_chars < 400)")
-def page_fanout(spark, d):
-    x = t(spark, d, "documents").where("n_chars < 400")
-    return x.select("doc_id", F.explode(tx.further_pages(F.col("n_chars"))).alias("page")).select("doc_id", F.col("page").cast("long"))
-
-
 @query("select page_id, regexp_matches(lower(split_part(split_part(u, '?', 1), '#', 1)), '\\.(pdf|doc|docx)$') as is_document from (select page_id, case page_id % 4 when 0 then url || '/A.PDF?x=1' when 1 then '/x.docx#p' when 2 then url || '?f=x.pdf' else url end as u from pages)".replace("\\\\", "\\"))
 def document_links(spark, d):
     u = F.expr("case page_id % 4 when 0 then concat(split(url, '[?#]')[0], '/A.PDF?x=1') when 1 then '/x.docx#p' when 2 then concat(url, '?f=x.pdf') else url end")
@@ -299,13 +196,6 @@ def document_links(spark, d):
 
 ORACLES["document_links"] = ORACLES["document_links"].replace("url || '/A.PDF?x=1'", "regexp_replace(url, '[?#].*$', '') || '/A.PDF?x=1'")
 
-
-@query("select doc_id, cast(case when doc_id % 3 = 0 then 10 else doc_id end as integer) as total from documents")
-def total_results(spark, d):
-    head = F.expr("case when doc_id % 3 = 0 then 'no results' else concat('Showing 1 to 10 OF  ', doc_id, ' results') end")
-    return t(spark, d, "documents").select("doc_id", tx.total_results(head, F.lit(10)).alias("total"))
-
-
 @query("select page_id, 'https://example.org/search?decisions=1&body=' || page_id || '&pageNumber=' || (page_id % 9 + 2) || '&from=2024-01-01&to=2024-01-31' as url from pages")
 def search_urls(spark, d):
     first = tx.search_url("https://example.org/search", F.col("page_id"), F.lit(date(2024, 1, 1)), F.lit(date(2024, 1, 31)), F.lit(1))
@@ -339,8 +229,267 @@ def dimension_lookup(spark, d):
     return s.join(n, F.col("s_nationkey") == F.col("n_nationkey")).join(r, F.col("n_regionkey") == F.col("r_regionkey")).groupBy("r_name", "n_name").agg(F.count("*").alias("suppliers"))
 
 
-@query()
+@query("""select coalesce(a.c_custkey, b.c_custkey) as c_custkey, case when b.c_custkey is not null then b.c_acctbal + 1 else a.c_acctbal end as balance, case when a.c_custkey is not null then 1 else 2 end as first_seen
+    from (select * from customer where c_custkey % 7 <> 0) a full join (select * from customer where c_custkey % 2 = 0) b on a.c_custkey = b.c_custkey""")
+def upsert_snapshot(spark, d):
+    c = t(spark, d, "customer")
+    old = c.where("c_custkey % 7 <> 0").select("c_custkey", F.col("c_acctbal").alias("balance"), F.lit(1).alias("first_seen"))
+    new = c.where("c_custkey % 2 = 0").select("c_custkey", (F.col("c_acctbal") + 1).alias("balance"), F.lit(2).alias("first_seen"))
+    return changes.merge(old, new, "c_custkey", ("first_seen",))
+
+
+_CT = "case lang when 'en' then ' Text/HTML ; charset=utf-8' when 'fr' then 'application/pdf' when 'de' then 'application/msword' when 'es' then 'image/png' end"
+
+
+@query(f"with c as (select doc_id, lower(trim(split_part({_CT}, ';', 1))) as k from documents) select doc_id, case k when 'text/html' then 'html' when 'application/pdf' then 'pdf' when 'application/msword' then 'doc' end as ext from c")
+def content_type_ext(spark, d):
+    return t(spark, d, "documents").select("doc_id", tx.extension(F.expr(_CT)).alias("ext"))
+
+
+@query(r"""select page_id, v as variant, sha256(regexp_replace(html, '<!--\s*ad[^>]*?-->', '', 'gs')) as file_hash from pages, (values (0), (1), (2)) x(v)""")
+def volatile_variants_one_hash(spark, d):
+    variants = F.posexplode(F.array(F.col("html"), F.concat("html", F.lit("<!-- ad 1 -->")), F.concat("html", F.lit("<!-- ad\n22 -->"))))
+    return t(spark, d, "pages").select("page_id", variants.alias("variant", "v")).select("page_id", "variant", _page_hash("v").alias("file_hash"))
+
+
+@query(r"""with c as (select *, sha256(case when role = 'user' then regexp_replace(text, '<!--\s*Elapsed time:[^>]*?-->', '', 'gs') else text end) as h, role in ('user', 'assistant') and strlen(text) > 0 as ok from conversations)
+    select conv_id, turn, case when not ok then 'dropped' when row_number() over w = 1 then 'inserted' when lag(h) over w = h then 'unchanged' else 'updated' end as outcome,
+    case when strlen(text) = 0 then 'empty_body' when not ok then 'unsupported_content_type' end as reason from c window w as (partition by conv_id, ok order by turn)""")
+def in_run_sequence(spark, d):
+    kind = F.when(F.col("role") == "user", "text/html").when(F.col("role") == "assistant", "application/pdf")
+    c = t(spark, d, "conversations").select(F.col("conv_id").alias("identifier"), F.col("turn").alias("scraped_at"), kind.alias("content_type"), F.encode("text", "UTF-8").alias("payload"))
+    none = spark.createDataFrame([], "identifier long, file_hash string")
+    return ingest.ingest_batch(c, none).select(F.col("identifier").alias("conv_id"), F.col("scraped_at").alias("turn"), "outcome", "reason")
+
+
+@query("select o_orderkey, o_orderstatus as body, strftime(o_orderdate, '%Y-%m-%d') as partition_date from orders where o_orderdate >= timestamp '1996-01-01' and o_orderdate < timestamp '1996-04-01' and o_orderstatus in ('F', 'O')")
+def range_body_filter(spark, d):
+    rows = t(spark, d, "orders").select("o_orderkey", F.col("o_orderstatus").alias("body"), iso("o_orderdate").alias("partition_date"))
+    return tr.in_range(rows, date(1996, 1, 15), date(1996, 3, 31), ["F", "O"])  # the start's bucket is whole
+
+
+_DATES = r"list_filter(list_transform(regexp_extract_all(s, '\b([0-9]{1,2}[/\-][0-9]{1,2}[/\-][0-9]{4})\b', 1), lambda x: try_strptime(replace(x, '-', '/'), '%d/%m/%Y')), lambda x: x is not null)"
+
+
+@query(f"with x as (select doc_id, replace(text, '. ', ' on ' || (doc_id % 40 + 1) || '-02-2024, ' || (doc_id % 28 + 1) || '/07/2025. ') || ' not 31/02/2024' as s from documents) select doc_id, strftime({_DATES}[-1], '%Y-%m-%d') as day from x")
+def last_short_date(spark, d):
+    s = F.expr("concat(replace(text, '. ', concat(' on ', doc_id % 40 + 1, '-02-2024, ', doc_id % 28 + 1, '/07/2025. ')), ' not 31/02/2024')")
+    return t(spark, d, "documents").select("doc_id", iso(tx.last_short_date(s)).alias("day"))
+
+
+_FIRST = "list_filter({0}, lambda x, i: list_position({1}, {2}) = i)"
+_AMOUNTS = r"list_transform(regexp_extract_all(s, '€\s*([0-9]{1,3}(?:[,\s][0-9]{3})*(?:\.[0-9]+)?)', 1), lambda x: cast(regexp_replace(x, '[,\s]', '', 'g') as double))"
+
+
+@query(f"with x as (select doc_id, replace(text, ',', ' €' || (doc_id % 1500 + 1) || ',250.5 and € 26,000, €26000 ') as s from documents), y as (select doc_id, {_AMOUNTS} as l from x) select doc_id, {_FIRST.format('l', 'l', 'x')} as amounts from y")
+def money_amounts(spark, d):
+    s = F.expr("replace(text, ',', concat(' €', doc_id % 1500 + 1, ',250.5 and € 26,000, €26000 '))")
+    return t(spark, d, "documents").select("doc_id", tx.money_amounts(s).alias("amounts"))
+
+
+_ACTS = r"list_filter(list_transform(regexp_extract_all(s, '([A-Z][A-Za-z''()\- ,&]{2,80}?Acts?\s+(?:19|20)[0-9]{2}(?:\s+to\s+(?:19|20)[0-9]{2})?)', 1), lambda a: regexp_replace(trim(regexp_replace(a, '\s+', ' ', 'g'), ' ,;:'), '(?i)^(?:under the|of the|the) ', '')), lambda a: length(a) >= 8)"
+
+
+@query(f"with x as (select doc_id, replace(replace(text, '. ', ' Act ' || (1990 + doc_id % 30) || '. '), ', ', ' THE Acts 2001 to  2004, ') as s from documents), y as (select doc_id, {_ACTS} as l from x) select doc_id, {_FIRST.format('l', 'list_transform(l, lambda z: lower(z))', 'lower(x)')} as acts from y")
+def acts_cited(spark, d):
+    s = F.expr("replace(replace(text, '. ', concat(' Act ', 1990 + doc_id % 30, '. ')), ', ', ' THE Acts 2001 to  2004, ')")
+    return t(spark, d, "documents").select("doc_id", tx.acts_cited(s).alias("acts"))
+
+
+_REPS = r"list_transform(regexp_extract_all(s, '(?i)\(\s*REPRESENTED\s+BY\s+([^)]+?)\s*\)', 1), lambda x: trim(x))"
+
+
+@query(rf"with x as (select doc_id, replace(text, '.', ' (Represented by ' || source || ' ).') || ' ( REPRESENTED  BY ' || lang || ')' as s from documents), y as (select doc_id, s, {_REPS} as l from x) select doc_id, {_FIRST.format('l', 'l', 'x')} as reps, trim(regexp_replace(s, '(?i)\(\s*REPRESENTED\s+BY\s+([^)]+?)\s*\)', '', 'g'), ' ()') as party from y")
+def representatives(spark, d):
+    s = F.expr("concat(replace(text, '.', concat(' (Represented by ', source, ' ).')), ' ( REPRESENTED  BY ', lang, ')')")
+    return t(spark, d, "documents").select("doc_id", tx.representatives(s).alias("reps"), tx.without_representatives(s).alias("party"))
+
+
+@query(r"select doc_id, regexp_replace(coalesce(nullif(trim(case when doc_id % 2 = 0 then ' ' || text || ' ' else '  ' end), ''), source || ' ' || doc_id), '\s+', '', 'g') as identifier from documents")
+def identifier_normalise(spark, d):
+    ref = F.expr("case when doc_id % 2 = 0 then concat(' ', text, ' ') else '  ' end")
+    return t(spark, d, "documents").select("doc_id", tx.identifier(ref, F.expr("concat(source, ' ', doc_id)")).alias("identifier"))
+
+
+@query("select doc_id, page from (select doc_id, unnest(generate_series(2, cast(ceil(n_chars / 10.0) as bigint))) as page from documents where n_chars > 10)")
+def page_fanout(spark, d):
+    return t(spark, d, "documents").select("doc_id", F.explode(tx.further_pages(F.col("n_chars"))).alias("page")).select("doc_id", F.col("page").cast("long"))
+
+
+@query(r"with x as (select doc_id, text || case when doc_id % 3 = 0 then ' no results' else ' 1 to 10 OF  ' || n_chars || ' results' end as s from documents) select doc_id, coalesce(try_cast(nullif(regexp_extract(s, '(?i)of\s+([0-9]+)\s+results', 1), '') as integer), 10) as total from x")
+def total_results(spark, d):
+    head = F.expr("concat(text, case when doc_id % 3 = 0 then ' no results' else concat(' 1 to 10 OF  ', n_chars, ' results') end)")
+    return t(spark, d, "documents").select("doc_id", tx.total_results(head, F.lit(10)).alias("total"))
+
+
+@query(r"""with x as (select page_id, regexp_extract(regexp_replace(html, '<!--.*?-->', '', 'gs'), '<article>(.*?)(</article>|$)', 1, 's') as a from pages)
+    select page_id, regexp_replace(regexp_replace(regexp_replace(replace(replace(replace(replace(replace(page_id || E'\n' || regexp_replace(regexp_replace(a, '\s*(<[^>]*>\s*)+', E'\n', 'g'), '^\s+|\s+$', '', 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#x27;', ''''), '&amp;', '&'),
+    '[ \t]+', ' ', 'g'), '\n{3,}', E'\n\n', 'g'), '^\s+|\s+$', '', 'g') as text, null as error from x""")
 def html_clean_dom(spark, d):
     read = dom.page_reader(("article",))
     p = t(spark, d, "pages").select("page_id", read(F.encode("html", "UTF-8"), F.col("page_id").cast("string")).alias("page"))
-    return p.select("page_id", F.sha2("page.clean", 256).alias("file_hash"), F.octet_length("page.clean").alias("file_size"), "page.text", "page.error")
+    return p.select("page_id", "page.text", "page.error")
+
+
+# A landing table of the pages: every tenth row lacks something, and the text stands in <article>.
+_LANDING = """select 'P' || page_id as identifier, case when page_id % 10 = 7 then null else 'Labour Court' end as body, 3 as body_id, '2024-0' || (page_id % 3 + 1) || '-01' as partition_date, '2024-03-31' as partition_end,
+    case when page_id % 10 = 6 then '01/04/2024' else '13/01/2024' end as date, 'landing-zone' as bucket, case when page_id % 10 = 1 then null else 'k/' || page_id end as file_path, sha256(html) as file_hash,
+    case when page_id % 10 = 2 then 'image/png' else 'text/html; charset=utf-8' end as content_type, case when page_id % 10 = 4 then replace(html, 'article', 'section') else html end as html, page_id from pages"""
+_OUTCOME = """case when page_id % 10 in (1, 2) then 'failed' when page_id % 10 = 3 or not contains(html, '<article') then 'failed' when page_id % 10 in (6, 7) then 'quarantined'"""
+_REASON = """case when page_id % 10 in (1, 2) then 'incomplete_landing_metadata' when page_id % 10 = 3 then 'landing_download_failed' when not contains(html, '<article') then 'content_not_found' when page_id % 10 in (6, 7) then 'schema_validation_failed' end"""
+_CONFIG = EngineConfig(selectors=("article",), min_content_bytes=1)
+
+
+def _landing(spark, d):
+    m = F.col("page_id") % 10
+    rows = t(spark, d, "pages").withColumn("file_hash", F.sha2("html", 256)).withColumn("html", F.when(m == 4, F.replace("html", F.lit("article"), F.lit("section"))).otherwise(F.col("html")))
+    return rows.select(
+        F.concat(F.lit("P"), "page_id").alias("identifier"), F.when(m != 7, "Labour Court").alias("body"), F.lit(3).alias("body_id"), F.concat(F.lit("2024-0"), F.col("page_id") % 3 + 1, F.lit("-01")).alias("partition_date"), F.lit("2024-03-31").alias("partition_end"),
+        F.when(m == 6, "01/04/2024").otherwise("13/01/2024").alias("date"), F.lit("landing-zone").alias("bucket"), F.when(m != 1, F.concat(F.lit("k/"), "page_id")).alias("file_path"), "file_hash",
+        F.when(m == 2, "image/png").otherwise("text/html; charset=utf-8").alias("content_type"), F.when(m != 3, F.encode("html", "UTF-8")).alias("payload"),
+    )
+
+
+def _transformed(spark, d, processed=None):
+    none = spark.createDataFrame([], tr.PROCESSED) if processed is None else processed
+    return tr.transform(spark, _landing(spark, d), none, spark.createDataFrame([], tr.QUARANTINE), datetime(2024, 4, 1), _CONFIG)
+
+
+@query(f"select identifier, coalesce(body, '?') as body, partition_date, {_OUTCOME} else 'transformed' end as outcome, {_REASON} as reason from ({_LANDING})")
+def transform_cold(spark, d):
+    return _transformed(spark, d).outcomes.drop("message")
+
+
+_KNOWN = "page_id % 3 = 0 and page_id % 10 not in (1, 2)"
+
+
+@query(f"select identifier, case when {_KNOWN} then 'unchanged' else {_OUTCOME} else 'transformed' end end as outcome, case when not ({_KNOWN}) then {_REASON} end as reason from ({_LANDING})")
+def transform_warm(spark, d):
+    """A third of the pages is known with its source and version: its payload is not read."""
+    known = _landing(spark, d).where("substr(identifier, 2) % 3 = 0").select("identifier", F.col("file_hash").alias("source_file_hash"), F.lit("x").alias("file_hash"), F.lit(_CONFIG.transform_version).alias("transform_version"))
+    return _transformed(spark, d, known).outcomes.select("identifier", "outcome", "reason")
+
+
+@query(f"select body, partition_date, count(*) filter (o = 'transformed') as transformed, 0::bigint as passthrough, 0::bigint as unchanged, count(*) filter (o = 'quarantined') as quarantined, count(*) filter (o = 'failed') as failed from (select coalesce(body, '?') as body, partition_date, {_OUTCOME} else 'transformed' end as o from ({_LANDING})) group by grouping sets ((body, partition_date), ())")
+def transform_summary(spark, d):
+    return _transformed(spark, d).summary()
+
+
+@query(f"select count(*) filter (o = 'transformed') as processed, count(*) filter (o = 'quarantined') as quarantined, 0::bigint as both_places from (select {_OUTCOME} else 'transformed' end as o from ({_LANDING}))")
+def exactly_one_place(spark, d):
+    """After a run over a state that holds every identifier, none is in both tables."""
+    before = spark.createDataFrame([], tr.PROCESSED)
+    rows = _landing(spark, d)
+    old = rows.select("identifier", *[F.lit(None).cast(f.dataType).alias(f.name) for f in before.schema if f.name != "identifier"]).where("identifier is not null").select(*before.columns)
+    result = _transformed(spark, d, old)
+    processed, held = tr.merged(old, result), tr.settle(spark.createDataFrame([], tr.QUARANTINE), result)
+    count = lambda df, name: df.agg(F.count("*").alias(name))
+    written = processed.where("file_hash is not null")
+    both = processed.select("identifier").intersect(held.select("identifier"))
+    return count(written, "processed").crossJoin(count(held, "quarantined")).crossJoin(count(both, "both_places"))  # three single rows
+
+
+@query(f"select identifier, 'landing-zone' as landing_bucket, file_path as landing_file_path, file_hash as landing_file_hash, case when page_id % 10 = 7 then 'body:missing' else 'record:date_after_partition' end as details from ({_LANDING}) where page_id % 10 in (6, 7) and contains(html, '<article')")
+def transform_quarantine(spark, d):
+    return _transformed(spark, d).quarantine.select("identifier", "landing_bucket", "landing_file_path", "landing_file_hash", F.array_join("quarantine_details", ",").alias("details"))
+
+
+@query(f"select identifier, 'labour_court/' || identifier || '.html' as file_path, 'processed' as bucket, file_path as source_file_path, file_hash as source_file_hash, 2 as transform_version from ({_LANDING}) where {_OUTCOME} else 'transformed' end = 'transformed'")
+def transform_processed(spark, d):
+    return _transformed(spark, d).processed.select("identifier", "file_path", "bucket", "source_file_path", "source_file_hash", "transform_version")
+
+
+@query(f"select event, count(*) as n from (select case o when 'transformed' then 'record_transformed' when 'quarantined' then 'record_quarantined' else 'record_failed' end as event from (select {_OUTCOME} else 'transformed' end as o from ({_LANDING})) union all select 'partition_summary' from (select distinct body, partition_date from ({_LANDING})) union all select 'transform_summary') group by all")
+def transform_events(spark, d):
+    return _transformed(spark, d).events().groupBy(F.get_json_object("value", "$.event").alias("event")).agg(F.count("*").alias("n"))
+
+
+_DECISION = """<html><body><div class="col-sm-9"><p><span class="c3">SUBJECT:</span></p><p>%s</p><p>The hearing took place on %s of June 2024. The sum is €%s,250. %s</p><p><span class="c3">DIVISION:</span></p>
+<table><tr><td>Chairman:</td><td>%s</td></tr></table><table><tr><td>Signed on behalf of the Labour Court</td></tr><tr><td><b>%s</b></td></tr><tr><td>%s/07/2024</td></tr></table></div></body></html>"""
+
+
+@query("""with x as (select doc_id, source, lang, doc_id % 30 + 1 as day, lower(case when doc_id % 4 = 0 then 'An Appeal' when doc_id % 4 = 1 then 'A Complaint' else '' end) as a, lower(text) as b from documents)
+    select doc_id, coalesce(case when contains(a, 'appeal') then 'Appeal' when contains(a, 'complaint') then 'Complaint' end, case when contains(b, 'appeal') then 'Appeal' when contains(b, 'enforcement') then 'Enforcement' when contains(b, 'industrial relations') then 'Industrial Relations Referral' when contains(b, 'complaint') then 'Complaint' end) as decision_type,
+    'Chair ' || lang as chair, 'Signed ' || source as signatory, '2024-06-' || lpad(day::varchar, 2, '0') as hearing_date, '2024-07-' || lpad(day::varchar, 2, '0') as signature_date, cast((doc_id % 900 + 1) * 1000 + 250 as double) as first_amount from x""")
+def structured_fields(spark, d):
+    day = F.col("doc_id") % 30 + 1
+    subject = F.when(F.col("doc_id") % 4 == 0, "An Appeal").when(F.col("doc_id") % 4 == 1, "A Complaint").otherwise("")
+    html = F.format_string(_DECISION, subject, day.cast("string"), (F.col("doc_id") % 900 + 1).cast("string"), tx.escaped(F.col("text")), F.concat(F.lit("Chair "), "lang"), F.concat(F.lit("Signed "), "source"), day.cast("string"))
+    page = dom.page_reader()(F.encode(html, "UTF-8"), F.col("doc_id").cast("string"))
+    fields = t(spark, d, "documents").select("doc_id", page.alias("page")).select("doc_id", tr.structured_fields().alias("f"))
+    return fields.select("doc_id", *[f"f.{c}" for c in ("decision_type", "chair", "signatory", "hearing_date", "signature_date")], F.get("f.monetary_amounts_eur", F.lit(0)).alias("first_amount"))
+
+
+_ITEM = '<li class="each-item clearfix"><h2 class="title"><a href="%s">%s</a></h2><span class="refNO">%s</span><p class="description">%s <b>x</b></p><span class="date">1/2/2024</span></li>'
+
+
+@query(r"""select doc_id, regexp_replace(case when doc_id % 3 = 0 then source || ' ' || doc_id else 'IR - ' || doc_id end, '\s+', '', 'g') as identifier, 'https://example.org/' || lang || '/' || doc_id || '.html' as href, case when doc_id % 5 = 0 then 'missing_identifier_or_href' end as error,
+    regexp_replace(text, '^\s+|\s+$', '', 'g') || ' x' as description from documents where doc_id % 5 <> 0 union all select doc_id, regexp_replace(case when doc_id % 3 = 0 then source || ' ' || doc_id else 'IR - ' || doc_id end, '\s+', '', 'g'), null, 'missing_identifier_or_href', regexp_replace(text, '^\s+|\s+$', '', 'g') || ' x' from documents where doc_id % 5 = 0""")
+def listing_rows(spark, d):
+    x = t(spark, d, "documents")
+    href = F.when(F.col("doc_id") % 5 != 0, F.format_string("/%s/%s.html", "lang", F.col("doc_id").cast("string"))).otherwise("")
+    ref = F.when(F.col("doc_id") % 3 == 0, " ").otherwise(F.concat(F.lit("IR - "), "doc_id"))
+    html = F.format_string(_ITEM, href, F.concat("source", F.lit(" "), "doc_id"), ref, tx.escaped(F.col("text")))
+    rows = x.select("doc_id", html.alias("h"), F.lit("https://example.org/s?x=1").alias("u")).select("doc_id", F.explode(pages.listing("h", "u")).alias("r"))
+    return rows.select("doc_id", "r.identifier", "r.href", "r.error", "r.description")
+
+
+def _log(spark, d):
+    """The events as log files, one a type, in order of time and number."""
+    work = Work(spark, "log")
+    e = t(spark, d, "events")
+    name = F.when(F.col("event_id") % 2 == 0, "partition_summary").otherwise("record_stored")
+    line = F.to_json(F.struct(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'").alias("ts"), name.alias("event"), F.col("event_type").alias("body"), F.col("user_id").alias("found"), (F.col("event_id") % 7).alias("scraped"), F.lit(3).alias("body_id"), F.lit(True).alias("ok"), F.col("user_id").cast("string").alias("text")))
+    e.select(F.when(F.col("event_id") % 11 == 0, F.concat(F.lit("{broken "), line)).otherwise(line).alias("value"), "event_type", "ts", "event_id").repartition(8, "event_type").sortWithinPartitions("event_type", "ts", "event_id").select("value", "event_type").write.partitionBy("event_type").text(f"{work.path}/log")
+    return events.read_lines(spark, f"{work.path}/log")
+
+
+@query("""with x as (select * from events where event_id % 11 <> 0 and event_id % 2 = 0) select 'found' as field, cast(sum(user_id) as bigint) as total from x union all select 'scraped', cast(sum(event_id % 7) as bigint) from x""")
+def log_totals(spark, d):
+    return events.numeric_totals(_log(spark, d))
+
+
+@query("select event_type as body, count(*) as n from events where event_id % 11 <> 0 and event_id % 2 = 1 group by all")
+def log_stored_by_body(spark, d):
+    return events.stored_by_body(_log(spark, d))
+
+
+@query("select event_type, round(epoch(max(ts)) - epoch(min(ts)), 3) as wall_seconds, count(*) filter (event_id % 2 = 1) as stored from events where event_id % 11 <> 0 group by all")
+def log_wall_seconds(spark, d):
+    lines = _log(spark, d)
+    counts = lines.groupBy("file").agg(F.count_if(events.field("event") == "record_stored").alias("stored"))
+    both = events.wall_in_file_order(lines).join(counts, "file")
+    return both.select(F.regexp_extract("file", "event_type=([^/]+)/", 1).alias("event_type"), F.round("wall_seconds", 3).alias("wall_seconds"), "stored")
+
+
+@query("select page_id, (select count(*) from (select unnest(string_split(html, E'\\n')) as line) where regexp_matches(line, '<li[^>]*class=\"[^\"]*each-item[^\"]*\"')) as items from (select page_id, replace(html, '<li>', '<li class=\"each-item\">') as html from pages)")
+def items_on_page(spark, d):
+    return t(spark, d, "pages").select("page_id", tx.items_on_page(F.replace("html", F.lit("<li>"), F.lit('<li class="each-item">'))).alias("items"))
+
+
+@query("select c_nationkey as k, count(*) as n from customer group by all having count(*) > 1")
+def repeated_keys(spark, d):
+    return checks.repeated_keys(t(spark, d, "customer").select(F.col("c_nationkey").alias("k")), "k")
+
+
+@query("select event_id, case when event_id % 4 = 0 then null when event_type = 'click' then 'minio_write_failed' when event_type = 'view' then 'mongo_write_failed' else 'pipeline_exception' end as reason, value >= 50 and (cast(user_id as integer) % 600) in (403, 408, 429, 500, 502, 503, 504, 520, 521, 522, 523, 524) as again, left(props, 5) as message from events")
+def failure_reasons(spark, d):
+    name = F.when(F.col("event_id") % 4 == 0, None).when(F.col("event_type") == "click", "S3Error").when(F.col("event_type") == "view", "BulkWriteError").otherwise("OSError")
+    again = (F.col("value") >= 50) & tx.is_retryable((F.col("user_id") % 600).cast("int"))
+    return t(spark, d, "events").select("event_id", tx.failure_reason(name).alias("reason"), again.alias("again"), tx.truncated(F.col("props"), 5).alias("message"))
+
+
+@query(r"""select page_id, case when page_id % 3 = 0 then null else 'https://example.org/' || page_id || '.pdf?v=1' end as document from pages""")
+def first_document_link(spark, d):
+    html = F.when(F.col("page_id") % 3 == 0, F.col("html")).otherwise(F.format_string('<div class="content"><a href="/x.html">x</a><a href="/%s.pdf?v=1">y</a><a href="/z.doc">z</a></div>%s', F.col("page_id").cast("string"), "html"))
+    found = t(spark, d, "pages").select("page_id", html.alias("h"), F.lit("https://example.org/p/").alias("u")).select("page_id", pages.links("h", "u").alias("links"))
+    return found.select("page_id", pages.document_link(F.col("links")).alias("document"))
+
+
+@query("select event_type as body, strftime(date_trunc('month', ts), '%Y-%m-%d') as partition_date, count(*) as found, count(*) filter (event_id % 4 = 1) as inserted, 0::bigint as updated, count(*) filter (event_id % 4 = 2) as unchanged, count(*) filter (event_id % 4 in (0, 3)) as dropped, 0::bigint as failed, count(*) filter (event_id % 4 in (1, 2)) as scraped, 0::bigint as gap from events group by all")
+def ingest_summary(spark, d):
+    """A batch of fetched items against a landing table that holds a quarter of them."""
+    m = F.col("event_id") % 4
+    items = t(spark, d, "events").select(F.col("event_id").alias("identifier"), F.col("ts").alias("scraped_at"), F.when(m == 0, "image/png").otherwise("text/html").alias("content_type"), F.when(m != 3, F.encode("props", "UTF-8")).alias("payload"), F.col("event_type").alias("body"), month_of().alias("partition_date"))
+    known = items.where("identifier % 4 = 2").select("identifier", F.sha2("payload", 256).alias("file_hash"))
+    return ingest.batch_summary(ingest.ingest_batch(items, known))

@@ -1,13 +1,17 @@
-"""Landing as a stream of fetched items: classify and merge every micro-batch into snapshots."""
+"""Landing as a stream of fetched items: classify every micro-batch, append contents, merge the narrow landing table."""
 
 from __future__ import annotations
 
+from datetime import date, datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from .. import storage
+from ..config import EngineConfig
 from ..functions import text as tx
-from ..operators import changes
+from ..operators import changes, summaries
 
 
 def prepared(items: DataFrame) -> DataFrame:
@@ -17,31 +21,76 @@ def prepared(items: DataFrame) -> DataFrame:
     return rows.withColumns({"file_hash": tx.content_hash(F.col("payload")), "size": F.octet_length("payload").cast("long")})
 
 
+METADATA = "identifier string, title string, description string, date string, partition_date string, partition_end string, body string, body_id int, source_url string, doc_url string, content_type string, scraped_at string"
+LANDING = METADATA + ", file_hash string, file_size bigint, bucket string, file_path string, last_seen_at timestamp, updated_at timestamp, first_scraped_at timestamp"
+STORED = ("inserted", "updated", "unchanged")
+
+
+def known_hashes(landing: DataFrame, start: date | None = None, end: date | None = None, body_ids: list[int] | None = None) -> DataFrame:
+    """identifier and file_hash of the landing rows that a run can meet."""
+    rows = landing
+    if start is not None:
+        rows = rows.where(F.col("partition_date") >= F.date_format(F.date_trunc("month", F.lit(start)), "yyyy-MM-dd"))
+    if end is not None:
+        rows = rows.where(F.col("partition_date") <= end.isoformat())
+    return (rows if body_ids is None else rows.where(F.col("body_id").isin(body_ids))).select("identifier", "file_hash")
+
+
 def ingest_batch(items: DataFrame, landing: DataFrame) -> DataFrame:
     """Items with their outcome against the landing table."""
     return changes.classify(prepared(items), landing.select("identifier", "file_hash"), ["scraped_at"])
 
 
-def latest_version(spark: SparkSession, root: str) -> int:
-    path = spark._jvm.org.apache.hadoop.fs.Path(root)
-    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(path):
-        return -1
-    names = [s.getPath() for s in fs.listStatus(path)]
-    return max((int(p.getName()[1:]) for p in names if p.getName().startswith("v") and fs.exists(spark._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))), default=-1)
+def landing_after(landing: DataFrame, classified: DataFrame, now: datetime, bucket: str = "landing-zone") -> DataFrame:
+    """The landing table (LANDING) after a batch: stored rows replace old ones, unchanged rows are seen again and nothing else."""
+    stamp = F.lit(now).cast("timestamp")
+    key = tx.landing_key(F.col("body"), F.col("partition_date"), F.col("identifier"), F.col("file_hash"), F.col("ext"))
+    last = changes.latest(classified.where(F.col("outcome").isin(*STORED)), "identifier", [F.col("scraped_at").desc()])
+    changed = classified.groupBy("identifier").agg(F.bool_or(F.col("outcome").isin("inserted", "updated")).alias("_changed"))
+    rows = last.join(changed, "identifier").withColumns({"file_size": F.col("size"), "bucket": F.lit(bucket), "file_path": key, "last_seen_at": stamp, "updated_at": stamp, "first_scraped_at": stamp})
+    new = changes.merge(landing, rows.where("_changed").select(*landing.columns), "identifier", ("first_scraped_at",))
+    seen = rows.where("not _changed").select("identifier", F.col("last_seen_at").alias("_seen"))
+    return new.join(seen, "identifier", "left").withColumn("last_seen_at", F.coalesce("_seen", "last_seen_at")).select(*landing.columns)
+
+
+def batch_summary(classified: DataFrame) -> DataFrame:
+    """Counts of a batch by body and partition, reconciled with what was found; rows without keys do not count."""
+    keyed = classified.where("body is not null and partition_date is not null")
+    found = keyed.groupBy("body", "partition_date").agg(F.count("*").alias("found"))
+    return summaries.reconcile([summaries.outcome_counts(keyed, summaries.INGEST), found])
+
+
+def ingest(spark: SparkSession, items: DataFrame, root: str, now: datetime, number: int | None = None, config: EngineConfig = EngineConfig()) -> DataFrame:
+    """One batch into the tables below ``root``: contents are appended, only the narrow landing table is a snapshot; returns its summary.
+
+    A batch of a ``number`` that ran before starts from the snapshot before it, so a replay gives the same.
+    """
+    table = f"{root}/{config.landing_table}"
+    before = storage.snapshot(spark, table, LANDING, None if number is None else number - 1)
+    work = storage.Work(spark, "ingest")
+    known = [f.name for f in items.schema]
+    whole = items.withColumns({c: F.lit(None).cast(t) for c, t in (x.split(" ") for x in METADATA.split(", ")) if c not in known})
+    classified = work.write(ingest_batch(whole, before), "classified")
+    stored = classified.where("outcome in ('inserted', 'updated')")
+    key = tx.landing_key(F.col("body"), F.col("partition_date"), F.col("identifier"), F.col("file_hash"), F.col("ext"))
+    batch = "all" if number is None else f"{number:09d}"
+    stored.select(key.alias("key"), F.col("file_hash").alias("hash"), "content_type", "payload").write.mode("append" if number is None else "overwrite").parquet(f"{root}/{config.landing_bucket}/batch={batch}")
+    storage.commit(spark, table, landing_after(before, classified, now, config.landing_bucket), number)
+    summary = batch_summary(classified)
+    counts = spark.createDataFrame(summary.collect(), summary.schema)  # a row a body and partition of the batch
+    work.clear()
+    return counts
 
 
-def ingest_stream(spark: SparkSession, source: DataFrame, root: str, checkpoint: str) -> StreamingQuery:
-    """Run over all that is there; each batch writes the snapshot of its number, so a replay overwrites its own."""
-    columns = ["identifier", "file_hash", "payload", "size", "ext", "scraped_at"]
+def ingest_stream(spark: SparkSession, source: DataFrame, root: str, checkpoint: str, config: EngineConfig = EngineConfig(), now: datetime | None = None) -> StreamingQuery:
+    """Run over all that is there, batch by batch; each batch's summary is appended to the logs as an event."""
 
     def write(batch: DataFrame, number: int) -> None:
-        before = latest_version(spark, root)
-        before = before if before < number else number - 1
-        landing = spark.read.parquet(f"{root}/v{before:09d}") if before >= 0 else spark.createDataFrame([], prepared(batch).select(*columns).schema)
-        new = ingest_batch(batch, landing).where("outcome in ('inserted', 'updated', 'unchanged')")
-        last = changes.latest(new, "identifier", [F.col("scraped_at").desc()]).select(*columns)
-        changes.merge(landing, last, "identifier").write.mode("overwrite").parquet(f"{root}/v{number:09d}")
+        at = now or datetime.now()
+        summary = ingest(spark, batch, root, at, number, config)
+        event = F.lit("partition_summary").alias("event")
+        lines = summary.orderBy("body", "partition_date").select(F.to_json(F.struct(F.lit(at.isoformat(timespec="milliseconds")).alias("ts"), event, *summary.columns)).alias("value"))
+        lines.coalesce(1).write.mode("overwrite").text(f"{root}/logs/batch={number:09d}")
 
     return source.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
