@@ -64,15 +64,32 @@ def text_or_empty(df: DataFrame, column: str = "text") -> Column:
     return F.coalesce(df[column].cast("string"), F.lit(""))
 
 
+def _keyed(docs: DataFrame, key: Column) -> tuple[DataFrame, list[str]]:
+    """``docs`` with its id as a string (empty for null) and a key, under names that it does not have."""
+    prefix = "_own"
+    while any(c.lower().startswith(prefix) for c in docs.columns):
+        prefix = "_" + prefix
+    names = [f"{prefix}_id", f"{prefix}_key"]
+    return docs.withColumns({names[0]: F.coalesce(docs["doc_id"].cast("long").cast("string"), F.lit("")), names[1]: key}), names
+
+
+def _named(rows: DataFrame, names: list[str]) -> DataFrame:
+    return rows.select(F.coalesce(F.col("_id").cast("string"), F.lit("")).alias(names[0]), F.col("_key").alias(names[1])).distinct()
+
+
 def kept_once(docs: DataFrame, kept: DataFrame, key: Column) -> DataFrame:
     """One row of ``docs`` for each id and key (``_id``, ``_key``) of ``kept``, with their own columns only.
 
     Both steps, the join and the choice among equal rows, stand on one partitioning of ``docs``.
     """
-    name = lambda c: F.coalesce(c.cast("string"), F.lit(""))
-    chosen = kept.select(name(F.col("_id")).alias("_own_id"), F.col("_key").alias("_own_key")).distinct()
-    marked = docs.withColumns({"_own_id": name(docs["doc_id"].cast("long")), "_own_key": key})
-    return marked.join(chosen, ["_own_id", "_own_key"], "left_semi").dropDuplicates(["_own_id", "_own_key"]).select(*docs.columns)
+    marked, names = _keyed(docs, key)
+    return marked.join(_named(kept, names), names, "left_semi").dropDuplicates(names).select(*docs.columns)
+
+
+def without(docs: DataFrame, dropped: DataFrame, key: Column) -> DataFrame:
+    """The rows of ``docs`` whose id and key (``_id``, ``_key``) are not in ``dropped``, with their own columns only."""
+    marked, names = _keyed(docs, key)
+    return marked.join(_named(dropped, names), names, "left_anti").select(*docs.columns)
 
 
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:

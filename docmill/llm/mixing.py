@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Workspace, load, text_or_empty
+from .common import Workspace, load, text_or_empty, without
 
 DOMAINS = ("good", "poor", "toxic")
 WIDTH = 1 << 15
@@ -189,11 +189,8 @@ def mixed(spark: SparkSession, docs: DataFrame, labels: DataFrame, keep: dict[st
     if residual > tolerance:
         warnings.warn(f"mixing targets are not reached: the residual is {residual:.2g} of all tokens", stacklevel=2)
     ws = Workspace(spark, "mixing-dropped")
-    dropped = _rated(members, rate, residual).where("copies = 0").select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).distinct()
-    dropped = ws.write(dropped, "dropped")
-    marked = docs.withColumn("_own_key", F.xxhash64(text_or_empty(docs)))
-    match = F.col("_own_key").eqNullSafe(F.col("_key")) & marked["doc_id"].cast("long").eqNullSafe(F.col("_id"))
-    return marked.join(dropped, match, "left_anti").select(*docs.columns)
+    dropped = ws.write(_rated(members, rate, residual).where("copies = 0").select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")), "dropped")
+    return without(docs, dropped, F.xxhash64(text_or_empty(docs)))
 
 
 #: Targets of the query: expected token shares of the domains.

@@ -18,9 +18,10 @@ over median.
 
 Estimates are regularised alike at every size: a group of n rows weighs n against
 ``PRIOR`` rows at its language's medians and median deviations (and a language against
-all rows), so a covariance is never singular and a small group leans on its
-language.  Where most rows of a group have the same value of a statistic, its deviation is
-``RESOLUTION``, the step of that statistic which a reader would not notice.
+all rows), so a small group leans on its language.  Every variance has the square of
+``RESOLUTION`` added, the step of a statistic that a reader would not notice: it is small
+beside the variances of the first four, and all there is where most rows agree, as they do
+in having no symbols and no repeated words.
 
 At scale: statistics are written once as a few numbers a row; medians and thresholds are
 quantile sketches and fits are sums, all of them partial aggregations, so a group of any
@@ -39,13 +40,13 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import SPACE, Workspace, load, text_or_empty
+from .common import SPACE, Workspace, load, text_or_empty, without
 
 X = ("x0", "x1", "x2", "x3", "x4", "x5")
 D = range(len(X))
 CELLS = [(i, j) for i in D for j in range(i + 1)]
-#: Smallest deviation of a statistic that counts.
-RESOLUTION = (0.01, 0.01, 0.01, 0.01, 0.05, 0.15)
+#: The step of each statistic that does not count.
+RESOLUTION = (0.005, 0.005, 0.003, 0.003, 0.05, 0.10)
 SUPPORT, REWEIGHT, TAIL, PRIOR = 0.75, 0.975, 1e-5, 20
 STEPS, SETTLED = 30, 1e-3
 ACCURACY = 10_000
@@ -156,7 +157,7 @@ def _parameters(sums: DataFrame, mean: list[Column], cell: dict[tuple[int, int],
     prior = F.lit(float(PRIOR)) / (F.col("n") + PRIOR)
     out = sums.select(
         "pair", "start", *more, *[(mean[i] * (1 - prior) + F.col(f"l{i}") * prior).alias(f"c{i}") for i in D],
-        *[(cell[i, j] * (1 - prior) + (F.col(f"t{i}") * prior if i == j else F.lit(0.0))).alias(f"v{i}{j}") for i, j in CELLS],
+        *[(cell[i, j] * (1 - prior) + (F.col(f"t{i}") * prior + RESOLUTION[i] ** 2 if i == j else F.lit(0.0))).alias(f"v{i}{j}") for i, j in CELLS],
     )
     for i, j in CELLS:
         rest = F.col(f"v{i}{j}")
@@ -267,10 +268,8 @@ def quality_verdicts(spark: SparkSession, docs: DataFrame, tail: float = TAIL) -
 def quality_filtered(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that pass, with their own columns only."""
     ws = Workspace(spark, "quality-kept")
-    failed = ws.write(quality_verdicts(spark, docs).where("not kept").select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).distinct(), "failed")
-    marked = docs.withColumn("_own_key", F.xxhash64(text_or_empty(docs)))
-    match = F.col("_own_key").eqNullSafe(F.col("_key")) & marked["doc_id"].cast("long").eqNullSafe(F.col("_id"))
-    return marked.join(failed, match, "left_anti").select(*docs.columns)
+    failed = ws.write(quality_verdicts(spark, docs).where("not kept").select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")), "failed")
+    return without(docs, failed, F.xxhash64(text_or_empty(docs)))
 
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

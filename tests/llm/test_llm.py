@@ -301,6 +301,19 @@ def test_common_lines_is_longest():
         assert len(got) == best[-1, -1] and got == sorted(set(got))
 
 
+def test_minimizers_of_many_texts_equal_those_of_each():
+    rng = np.random.default_rng(3)
+    for _ in range(60):
+        counts = rng.integers(0, 60, rng.integers(0, 12))
+        words = rng.integers(0, 50, counts.sum()).astype(np.uint32)
+        hashes, places, seeds = passages.slice_minimizers(words, counts)
+        at = done = 0
+        for n, m in zip(counts, seeds):
+            h, p = passages.minimizers(words[at : at + n])
+            assert hashes[done : done + m].tolist() == h.tolist() and places[done : done + m].tolist() == p.tolist()
+            at, done = at + n, done + m
+
+
 def test_passages_are_found_and_clean_texts_left_alone(spark, empty):
     rng = random.Random(4)
     shared, texts = words(rng, 80).split(), []

@@ -37,7 +37,7 @@ def plain_estimates(rows):
             z, share = (x - m) / s, PRIOR / (n + PRIOR)
 
             def regular(mean, cov):
-                k = (1 - share) * cov + share * np.diag(prior_v)
+                k = (1 - share) * cov + share * np.diag(prior_v) + np.diag(np.square(RESOLUTION))
                 return (1 - share) * mean + share * prior_m, k, np.linalg.slogdet(k)[1] / 2
 
             def distances(centre, k):
