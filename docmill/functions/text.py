@@ -150,7 +150,7 @@ def decision_date(value: Column) -> Column:
 
 def wall_clock(seconds: Column) -> Column:
     """mm:ss.ss, or ? where unknown."""
-    return F.coalesce(F.format_string("%02d:%05.2f", F.floor(seconds / 60).cast("int"), seconds - F.floor(seconds / 60) * 60), F.lit("?"))
+    return F.when(seconds.isNull(), "?").otherwise(F.format_string("%02d:%05.2f", F.floor(seconds / 60).cast("int"), seconds - F.floor(seconds / 60) * 60))
 
 
 def counts_cell(counts: Column) -> Column:

@@ -264,8 +264,9 @@ def in_run_sequence(spark, d):
 
 @query("select o_orderkey, o_orderstatus as body, strftime(o_orderdate, '%Y-%m-%d') as partition_date from orders where o_orderdate >= timestamp '1996-01-01' and o_orderdate < timestamp '1996-04-01' and o_orderstatus in ('F', 'O')")
 def range_body_filter(spark, d):
-    rows = t(spark, d, "orders").select("o_orderkey", F.col("o_orderstatus").alias("body"), iso("o_orderdate").alias("partition_date"))
-    return tr.in_range(rows, date(1996, 1, 15), date(1996, 3, 31), ["F", "O"])  # the start's bucket is whole
+    rows = t(spark, d, "orders").select(F.col("o_orderkey").alias("identifier"), F.col("o_orderstatus").alias("body"), iso("o_orderdate").alias("partition_date"))
+    found = tr.scan(rows, date(1996, 1, 15), date(1996, 3, 31), ["F", "O"])  # the start's bucket is whole
+    return found.withColumnRenamed("identifier", "o_orderkey")
 
 
 _DATES = r"list_filter(list_transform(regexp_extract_all(s, '\b([0-9]{1,2}[/\-][0-9]{1,2}[/\-][0-9]{4})\b', 1), lambda x: try_strptime(replace(x, '-', '/'), '%d/%m/%Y')), lambda x: x is not null)"

@@ -48,7 +48,8 @@ def run_transform(spark: SparkSession, root: str, start: date, end: date, body_i
     result.events().write.mode("append").text(f"{root}/logs")
     counts = result.summary().where("body is null").first()
     stats = {c: int(counts[c]) if counts else 0 for c in summaries.TRANSFORM}
-    stats["found"] = sum(stats.values())
+    stats["found"] = result.found
+    result.work.clear()
     log.info("transform_summary", extra={"event": "transform_summary", **stats})
     return stats
 

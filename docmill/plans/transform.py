@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from datetime import date, datetime
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -48,6 +48,11 @@ def in_range(landing: DataFrame, start: date, end: date, names: list[str] | None
     return rows if names is None else rows.where(F.col("body").isin(names))
 
 
+def scan(landing: DataFrame, *args, **options) -> DataFrame:
+    """``in_range`` in order of partition and identifier, for those who look at the rows."""
+    return in_range(landing, *args, **options).orderBy("partition_date", "identifier")
+
+
 def with_payloads(spark: SparkSession, landing: DataFrame, root: str) -> DataFrame:
     """Landing rows with the bytes of the files that ``file_path`` names below ``root``; null where there is none."""
     base = root.rstrip("/") + "/"
@@ -101,6 +106,8 @@ class TransformResult:
     decided: DataFrame
     now: datetime
     config: EngineConfig
+    work: Work
+    found: int  # landing rows, counted while they were first read
 
     @property
     def processed(self) -> DataFrame:
@@ -177,7 +184,8 @@ def _outcome() -> Column:
 def transform(spark: SparkSession, landing: DataFrame, processed: DataFrame, quarantine: DataFrame, now: datetime, config: EngineConfig = EngineConfig()) -> TransformResult:
     """Decide every landing row; ``processed`` has one row an identifier, ``quarantine`` is settled by ``settle``."""
     work = Work(spark, "transform")
-    early = work.write(early_decisions(landing, processed, config), "early")
+    count = Observation("landing")
+    early = work.write(early_decisions(landing, processed, config).observe(count, F.count(F.lit(1)).alias("found")), "early")
     needed = early.where("early is null")
     payloads = landing.select(*KEY, "payload")
     if early.where("sighting > 1").isEmpty():
@@ -210,7 +218,10 @@ def transform(spark: SparkSession, landing: DataFrame, processed: DataFrame, qua
     reason = F.coalesce("problem", F.when(F.col("early") == "failed", "incomplete_landing_metadata"), F.when(F.size("errors") > 0, "schema_validation_failed"))
     detail = F.when(F.col("early") == "failed", F.concat_ws(" ", F.lit("content type"), F.coalesce("content_type", F.lit("missing")), F.lit("at"), F.coalesce("file_path", F.lit("no path"))))
     decided = made.withColumns({"reason": reason, "message": F.coalesce("message", detail)})
-    return TransformResult(work.write(decided, "decided", "outcome"), now, config)
+    table = work.write(decided, "decided", "outcome")
+    for name in ("early", "parsed"):
+        work.drop(name)
+    return TransformResult(table, now, config, work, count.get["found"])
 
 
 def _after_the_first(made: DataFrame) -> DataFrame:

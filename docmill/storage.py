@@ -31,6 +31,10 @@ class Work:
         df.write.option("compression", "zstd").partitionBy(*partition_by).parquet(f"{self.path}/{name}")
         return self.spark.read.schema(df.schema).parquet(f"{self.path}/{name}")
 
+    def drop(self, name: str) -> None:
+        """Delete a table that nothing reads any more."""
+        remove(self.spark, f"{self.path}/{name}")
+
     def clear(self) -> None:
         remove(self.spark, self.path)
 

@@ -60,8 +60,24 @@ def batch_summary(classified: DataFrame) -> DataFrame:
     return summaries.reconcile([summaries.outcome_counts(keyed, summaries.INGEST), found])
 
 
+def ingest_events(classified: DataFrame, now: datetime) -> DataFrame:
+    """One event a record, one summary a partition and one over all, as JSON lines in order of kind and key."""
+    at = F.lit(now.strftime("%Y-%m-%dT%H:%M:%S.") + f"{now.microsecond // 1000:03d}+00:00")
+    common = lambda e, lv="INFO": [at.alias("ts"), F.lit(lv).alias("level"), F.lit("docmill.ingest").alias("logger"), e.alias("msg"), e.alias("event")]
+    stored = F.col("outcome").isin("inserted", "updated")
+    event = F.when(stored, "record_stored").when(F.col("outcome") == "unchanged", "record_unchanged").otherwise("record_dropped")
+    key = F.when(stored, tx.landing_key(F.col("body"), F.col("partition_date"), F.col("identifier"), F.col("file_hash"), F.col("ext")))
+    change = F.when(F.col("outcome") == "inserted", "new").when(F.col("outcome") == "updated", "content_changed")
+    records = classified.select(F.lit(0).alias("_kind"), "body", "partition_date", F.to_json(F.struct(*common(event), "identifier", key.alias("file_path"), F.when(F.col("outcome") != "dropped", F.col("file_hash")).alias("file_hash"), change.alias("change"), "reason", F.col("doc_url").alias("url"), "content_type", "body", "partition_date")).alias("value"))
+    parts = batch_summary(classified)
+    partitions = parts.select(F.lit(1).alias("_kind"), "body", "partition_date", F.to_json(F.struct(*common(F.lit("partition_summary")), *parts.columns)).alias("value"))
+    totals = classified.agg(*[F.count_if(F.col("outcome") == o).alias(o) for o in ("inserted", "updated", "unchanged", "dropped")])
+    whole = totals.select(F.lit(2).alias("_kind"), F.lit(None).cast("string").alias("body"), F.lit(None).cast("string").alias("partition_date"), F.to_json(F.struct(*common(F.lit("storage_summary")), *totals.columns)).alias("value"))
+    return records.union(partitions).union(whole).orderBy("_kind", "body", "partition_date", "value").select("value")
+
+
 def ingest(spark: SparkSession, items: DataFrame, root: str, now: datetime, number: int | None = None, config: EngineConfig = EngineConfig()) -> DataFrame:
-    """One batch into the tables below ``root``: contents are appended, only the narrow landing table is a snapshot; returns its summary.
+    """One batch into the tables below ``root``: contents and events are appended, only the narrow landing table is a snapshot; returns its summary.
 
     A batch of a ``number`` that ran before starts from the snapshot before it, so a replay gives the same.
     """
@@ -73,9 +89,10 @@ def ingest(spark: SparkSession, items: DataFrame, root: str, now: datetime, numb
     classified = work.write(ingest_batch(whole, before), "classified")
     stored = classified.where("outcome in ('inserted', 'updated')")
     key = tx.landing_key(F.col("body"), F.col("partition_date"), F.col("identifier"), F.col("file_hash"), F.col("ext"))
-    batch = "all" if number is None else f"{number:09d}"
-    stored.select(key.alias("key"), F.col("file_hash").alias("hash"), "content_type", "payload").write.mode("append" if number is None else "overwrite").parquet(f"{root}/{config.landing_bucket}/batch={batch}")
+    batch, mode = ("all", "append") if number is None else (f"{number:09d}", "overwrite")
+    stored.select(key.alias("key"), F.col("file_hash").alias("hash"), "content_type", "payload").write.mode(mode).parquet(f"{root}/{config.landing_bucket}/batch={batch}")
     storage.commit(spark, table, landing_after(before, classified, now, config.landing_bucket), number)
+    ingest_events(classified.drop("payload"), now).write.mode(mode).text(f"{root}/logs/batch={batch}")
     summary = batch_summary(classified)
     counts = spark.createDataFrame(summary.collect(), summary.schema)  # a row a body and partition of the batch
     work.clear()
@@ -83,14 +100,10 @@ def ingest(spark: SparkSession, items: DataFrame, root: str, now: datetime, numb
 
 
 def ingest_stream(spark: SparkSession, source: DataFrame, root: str, checkpoint: str, config: EngineConfig = EngineConfig(), now: datetime | None = None) -> StreamingQuery:
-    """Run over all that is there, batch by batch; each batch's summary is appended to the logs as an event."""
+    """Run over all that is there, batch by batch; each batch ends with its summaries in the logs."""
 
     def write(batch: DataFrame, number: int) -> None:
-        at = now or datetime.now()
-        summary = ingest(spark, batch, root, at, number, config)
-        event = F.lit("partition_summary").alias("event")
-        lines = summary.orderBy("body", "partition_date").select(F.to_json(F.struct(F.lit(at.isoformat(timespec="milliseconds")).alias("ts"), event, *summary.columns)).alias("value"))
-        lines.coalesce(1).write.mode("overwrite").text(f"{root}/logs/batch={number:09d}")
+        ingest(spark, batch, root, now or datetime.now(), number, config)
 
     return source.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

@@ -268,7 +268,11 @@ def test_classes_within_a_run_and_stream(spark, tmp_path):
     state = storage.snapshot(spark, f"{root}/landing_metadata").collect()
     assert [(r.identifier, r.file_size, r.file_path[:24], r.first_scraped_at) for r in state] == [("A", 1, "labour_court/2024-01/A-a", at)]
     assert sorted(bytes(r.payload) for r in spark.read.parquet(f"{root}/landing-zone").collect()) == [b"x", b"y"]
-    log = events.event_view(events.read_lines(spark, f"{root}/logs/*"), "partition_summary").first()
+    lines = events.read_lines(spark, f"{root}/logs/*")
+    assert sorted((r.identifier, r.change) for r in events.event_view(lines, "record_stored").collect()) == [("A", "content_changed"), ("A", "new")]
+    assert sorted((r.identifier, r.reason) for r in events.event_view(lines, "record_dropped").collect()) == [("B", "unsupported_content_type"), ("C", "empty_body")]
+    assert [(r.inserted, r.dropped) for r in events.event_view(lines, "storage_summary").collect()] == [(1, 2)]
+    log = events.event_view(lines, "partition_summary").first()
     assert (log.found, log.inserted, log.updated, log.unchanged, log.dropped) == (5, 1, 1, 1, 2)
     later = datetime(2024, 2, 3)
     seen = spark.createDataFrame([("A", "text/html", bytearray(b"y"), "4", "Labour Court", "2024-01-01")], schema)
@@ -324,6 +328,21 @@ def test_merge_keeps_insert_only_columns(spark):
     assert sorted(map(tuple, changes.merge(old, new, "k", ("first",)).collect())) == [(1, "a", 1), (2, "B", 1), (3, None, 9)]
 
 
+def test_text_functions_in_odd_cases(spark):
+    df = spark.createDataFrame([([" a ", "", "b c "], "Adjudication Officer: Pat O'Neill .", "x 3rd of July 2024 y", "31/02/2024")], "p array<string>, o string, d string, s string")
+    row = df.select(tx.joined_description(F.col("p")).alias("a"), tx.adjudicating_officer(F.col("o")).alias("b"), tx.any_date(F.col("d")).alias("c"), tx.any_date(F.col("s")).alias("d"), tx.mime_type(F.lit("pdf")).alias("e"), tx.mime_type(F.lit("xyz")).alias("f"), tx.wall_clock(F.lit(None).cast("double")).alias("g")).first()
+    assert tuple(row) == ("a b c", "Pat", date(2024, 7, 3), None, "application/pdf", "application/octet-stream", "?")
+
+
+def test_scan_and_range_errors(spark):
+    rows = spark.createDataFrame([("B", "x", "2024-01-01"), ("A", "x", "2024-01-01"), ("C", "y", "2023-12-01"), ("D", "x", "2024-03-01")], "identifier string, body string, partition_date string")
+    assert [r.identifier for r in tr.scan(rows, date(2024, 1, 15), date(2024, 2, 1)).collect()] == ["A", "B"]
+    assert tr.scan(rows, date(2024, 1, 15), date(2024, 2, 1), strict=True).count() == 0
+    assert [r.identifier for r in tr.scan(rows, date(2023, 1, 1), date(2024, 12, 1), ["x"]).collect()] == ["A", "B", "D"]
+    with pytest.raises(ValueError):
+        tr.in_range(rows, date(2024, 2, 1), date(2024, 1, 1))
+
+
 def test_markdown_summary():
     from docmill.operators.summaries import markdown_summary
 
