@@ -20,7 +20,6 @@ def test_stages_over_an_empty_table(spark, tmp_path):
         assert out.count() == 0, name
         if name != "packing":
             assert out.columns == docs.columns
-    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
 
 
 def test_stages_over_nulls_ties_and_clashing_columns(spark, tmp_path):
