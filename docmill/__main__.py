@@ -1,4 +1,4 @@
-"""Command line: ``python -m docmill transform|summary``.
+"""Command line: ``python -m docmill ingest|transform|summary``.
 
 Exit code 0 when every record was processed, 2 when records failed, 1 (2 for a wrong
 argument) when the run could not start.
@@ -27,13 +27,16 @@ def iso_date(value: str) -> date:
 def arguments() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="docmill", description="Incremental processing of document collections")
     commands = parser.add_subparsers(dest="command", required=True)
+    land = commands.add_parser("ingest", help="fetched items to landing")
+    land.add_argument("--items", required=True, help="Parquet of fetched items with their payload")
     run = commands.add_parser("transform", help="landing to processed and quarantine")
-    run.add_argument("--root", required=True, help="folder of the tables")
-    run.add_argument("--start-date", required=True, type=iso_date, help="first day, inclusive")
-    run.add_argument("--end-date", required=True, type=iso_date, help="last day, inclusive")
-    run.add_argument("--bodies", type=id_list, help="ids, comma-separated (all by default)")
-    run.add_argument("--strict", action="store_true", help="a start within a bucket leaves the bucket out")
-    run.add_argument("--env-file", help="settings as NAME=value lines")
+    for command in (land, run):
+        command.add_argument("--root", required=True, help="folder of the tables")
+        command.add_argument("--start-date", required=True, type=iso_date, help="first day, inclusive")
+        command.add_argument("--end-date", required=True, type=iso_date, help="last day, inclusive")
+        command.add_argument("--bodies", type=id_list, help="ids, comma-separated (all by default)")
+        command.add_argument("--strict", action="store_true", help="a start within a bucket leaves the bucket out")
+        command.add_argument("--env-file", help="settings as NAME=value lines")
     summary = commands.add_parser("summary", help="Markdown of event logs")
     summary.add_argument("label")
     summary.add_argument("paths", nargs="+")
@@ -55,6 +58,9 @@ def main(argv: list[str] | None = None, spark=None) -> int:
         print(runs.summarise_logs(spark, args.label, *args.paths, wall_path=args.wall))
         return 0
     try:
+        if args.command == "ingest":
+            counts = runs.run_ingest(spark, args.root, args.items, args.start_date, args.end_date, args.bodies, config=config, strict=args.strict)
+            return 2 if counts["failed"] else 0
         stats = runs.run_transform(spark, args.root, args.start_date, args.end_date, args.bodies, config=config, strict=args.strict)
     except ValueError as fault:
         print(fault, file=sys.stderr)

@@ -15,6 +15,7 @@ from ..config import EngineConfig
 from ..functions import text as tx
 from ..operators import calendar, checks, summaries
 from ..sources import events
+from ..streaming import ingest
 from . import transform as tr
 
 log = logging.getLogger("docmill.runs")
@@ -33,6 +34,8 @@ def run_transform(spark: SparkSession, root: str, start: date, end: date, body_i
     landing = storage.snapshot(spark, f"{root}/{config.landing_table}")
     if landing is None:
         raise ValueError(f"no landing table below {root}")
+    if "payload" not in landing.columns and storage.exists(spark, f"{root}/{config.landing_bucket}"):
+        landing = with_contents(landing, spark.read.parquet(f"{root}/{config.landing_bucket}"))
     if missing := checks.missing_columns(LANDING_COLUMNS, landing):
         raise ValueError(f"the landing table lacks {', '.join(missing)}")
     now = now or datetime.now()
@@ -54,6 +57,22 @@ def run_transform(spark: SparkSession, root: str, start: date, end: date, body_i
     return stats
 
 
+def with_contents(landing: DataFrame, contents: DataFrame) -> DataFrame:
+    """Landing rows with the payload that was appended under their key; null where there is none."""
+    blobs = contents.select(F.col("key").alias("file_path"), "payload").dropDuplicates(["file_path"])
+    return landing.join(blobs, "file_path", "left").select(*landing.columns, "payload")
+
+
+def run_ingest(spark: SparkSession, root: str, items_path: str, start: date, end: date, body_ids: list[int] | None = None, now: datetime | None = None, config: EngineConfig = EngineConfig(), strict: bool = False) -> dict[str, int]:
+    """Ingest the fetched items of a range of partitions as one batch; counts of outcomes over all partitions."""
+    names = config.body_names(body_ids)
+    items = tr.in_range(spark.read.parquet(items_path), start, end, names, strict, config.partition_size)
+    summary = ingest.ingest(spark, items, root, now or datetime.now(), config=config)
+    counts = summary.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("found", *summaries.INGEST)]).first().asDict()
+    log.info("storage_summary", extra={"event": "storage_summary", **counts})
+    return counts
+
+
 def write_contents(result: tr.TransformResult, path: str) -> None:
     """Append contents and their text siblings: key, hash, MIME type and bytes."""
     made = result.processed

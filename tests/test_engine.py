@@ -176,6 +176,22 @@ def test_runs_sinks_and_exit_codes(spark, tmp_path, root_logger):
     assert [x["unchanged"] for x in runs.materialise(spark, root, lambda *a: None, date(2026, 7, 1), date(2026, 7, 31), [3])] == [1]
 
 
+def test_ingest_then_transform_from_the_command_line(spark, tmp_path, root_logger):
+    from docmill import __main__ as cli
+    from docmill import storage
+
+    root = f"file://{tmp_path}/tables"
+    big = bytearray(PAGE.replace("ABC1234</h1>", "ABC1234</h1>" + "<p>word</p>" * 300).encode())
+    items = [("ABC1234", "2026-07-01", 3, "Labour Court", big), ("OLD1", "2025-01-01", 3, "Labour Court", big), ("NONE1", "2026-07-01", 3, "Labour Court", None)]
+    spark.createDataFrame([(i, d, "2026-07-31", "13/07/2026", b, n, "text/html", "1", p) for i, d, b, n, p in items], "identifier string, partition_date string, partition_end string, date string, body_id int, body string, content_type string, scraped_at string, payload binary").write.parquet(f"{tmp_path}/items")
+    span = ["--root", root, "--start-date", "2026-07-10", "--end-date", "2026-07-31", "--bodies", "3"]
+    assert cli.main(["ingest", "--items", f"{tmp_path}/items", *span], spark) == 0
+    rows = storage.snapshot(spark, f"{root}/landing_metadata")
+    assert [r.identifier for r in rows.collect()] == ["ABC1234"] and "payload" not in rows.columns
+    assert cli.main(["transform", *span], spark) == 0
+    assert [r.identifier for r in storage.snapshot(spark, f"{root}/processed_metadata").collect()] == ["ABC1234"]
+
+
 def test_payloads_by_path(spark, tmp_path):
     (tmp_path / "blobs/lc").mkdir(parents=True)
     (tmp_path / "blobs/lc/A.html").write_bytes(b"abc")
