@@ -11,7 +11,6 @@ import time
 import urllib.parse
 import zlib
 
-import pytest
 import zstandard
 
 from docmill.llm import secrets
