@@ -301,6 +301,18 @@ def test_common_lines_is_longest():
         assert len(got) == best[-1, -1] and got == sorted(set(got))
 
 
+def test_segments_of_many_pairs_equal_those_of_each():
+    rng = np.random.default_rng(4)
+    for _ in range(80):
+        pair = np.sort(rng.integers(0, 6, rng.integers(1, 80)))
+        p, q = rng.integers(0, 25, len(pair)), rng.integers(0, 12, len(pair))
+        parts, repeated = passages.pair_segments(pair, p, q, 5)
+        for own in set(pair.tolist()):
+            matches = list(zip(p[pair == own].tolist(), q[pair == own].tolist()))
+            assert sorted(map(tuple, parts[parts[:, 0] == own, 1:].tolist())) == sorted(passages.segments(matches, 5))
+            assert sorted(map(tuple, repeated[repeated[:, 0] == own, 1:3].tolist())) == sorted(passages.runs(matches))
+
+
 def test_minimizers_of_many_texts_equal_those_of_each():
     rng = np.random.default_rng(3)
     for _ in range(60):
