@@ -125,6 +125,8 @@ def near_links(ws: Workspace, fps: DataFrame, bits: int = BITS, bucket: int = 40
     if crowded:
         variants = variants.join(hot.select("key"), "key", "left_anti")
     left, right = variants.select("key", F.col("fp").alias("a")), variants.select("key", F.col("fp").alias("b"))
+    # the planner takes the exploded keys for as small as their fingerprints and would send all of them through the driver
+    left = left.hint("merge")
     # a pair reported at a crowded key by its own choice is found there; at others the condition is the same
     links = left.join(right, "key").where(f"a < b and {_linked(bits)}").select("a", "b")
     if crowded:

@@ -97,6 +97,19 @@ def test_links_survive_every_distance(spark):
     assert got == {tuple(sorted((signed[i], signed[j]))) for i in range(len(fps)) for j in range(i) if (fps[i] ^ fps[j]).bit_count() <= 4}
 
 
+def test_links_are_never_joined_through_the_driver(spark):
+    class Seen(Workspace):
+        def write(self, df, name, partition_by=None):
+            if name == "links":
+                self.plan = df._jdf.queryExecution().executedPlan().toString()
+            return super().write(df, name, partition_by)
+
+    ws = Seen(spark, "test")
+    fps = spark.range(2000).selectExpr("xxhash64(id) as fp")  # 2,000 x 64 keys look like 2,000 small rows to the planner
+    simhash.near_links(ws, fps)
+    assert "SortMergeJoin" in ws.plan and "Broadcast" not in ws.plan
+
+
 def test_components_of_a_path_and_a_star(spark):
     edges = [(i, i + 1) for i in range(30)] + [(100, 100 + i) for i in range(1, 50)] + [(7, 7), (1, 0)]
     got = components(Workspace(spark, "test"), spark.createDataFrame(edges, "a long, b long")).collect()
