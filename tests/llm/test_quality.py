@@ -133,3 +133,15 @@ def test_groups_of_one_and_empty_tables(spark):
     assert quality.quality_verdicts(spark, alone).count() == 1
     assert quality.quality_verdicts(spark, alone.limit(0)).count() == 0
     assert quality.quality_filtered(spark, alone.limit(0)).columns == alone.columns
+
+
+def test_stage_keeps_and_drops_equal_rows_of_two_groups_by_their_own_verdicts(spark):
+    rng = np.random.default_rng(12)
+    text = lambda n: " ".join("".join(rng.choice(list("abcdefgh"), rng.integers(n - 2, n + 3))) for _ in range(120))
+    rows = [(i, text(5), "en", "s") for i in range(200)] + [(200 + i, text(25), "xx", "s") for i in range(200)]
+    rows.append((250, rows[250][1], "en", "s"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    kept = [(r.doc_id, r.lang) for r in quality.quality_filtered(spark, docs).collect()]
+    assert [x for x in kept if x[0] == 250] == [(250, "xx")]
+    verdicts = quality.quality_verdicts(spark, docs).where("kept").count()
+    assert len(kept) == verdicts > 350
