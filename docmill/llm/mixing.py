@@ -27,6 +27,7 @@ rates; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import math
 import re
 import warnings
 import zlib
@@ -58,23 +59,37 @@ def features(text: bytes) -> tuple[np.ndarray, np.ndarray, int]:
     return np.concatenate((columns, WIDTH + np.arange(4))), values, n
 
 
-def fit_softmax(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, classes: int, rounds: int = 120, ridge: float = 1e-5) -> np.ndarray:
-    """Weights (features and bias, classes), by full-batch Adam on the regularised likelihood."""
+def _blocks(rows: list[tuple[np.ndarray, np.ndarray]], entries: int) -> Iterator[tuple[slice, np.ndarray, np.ndarray, np.ndarray]]:
+    """Consecutive rows with about ``entries`` values each, a bias after each row's: places of the rows, columns, values and sizes."""
+    at = held = 0
+    for i, (columns, _) in enumerate(rows):
+        held += len(columns) + 1
+        if held >= entries or i + 1 == len(rows):
+            part = rows[at : i + 1]
+            ends = np.array([WIDTH + 4], np.int32), np.array([1], np.float32)
+            yield slice(at, i + 1), *(np.concatenate([x for row in part for x in (row[j], ends[j])]) for j in (0, 1)), np.array([len(c) + 1 for c, _ in part])
+            at, held = i + 1, 0
+
+
+def fit_softmax(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, classes: int, rounds: int = 120, ridge: float = 1e-5, entries: int = 1 << 15) -> np.ndarray:
+    """Weights (features and bias, classes), by full-batch Adam on the regularised likelihood; products are made for ``entries`` values at a time."""
     weights = np.zeros((WIDTH + 5, classes))
     if not rows:
         return weights
-    columns = np.concatenate([np.append(c, WIDTH + 4) for c, _ in rows])
-    values = np.concatenate([np.append(v, 1.0) for _, v in rows])
-    sizes = np.array([len(c) + 1 for c, _ in rows])
-    starts, of = np.concatenate(([0], np.cumsum(sizes)[:-1])), np.repeat(np.arange(len(rows)), sizes)
+    blocks = list(_blocks(rows, entries))
     truth = np.eye(classes)[labels]
     first, second = np.zeros_like(weights), np.zeros_like(weights)
     for t in range(1, rounds + 1):
-        score = np.add.reduceat(weights[columns] * values[:, None], starts)
-        p = np.exp(score - score.max(1, keepdims=True))
-        p /= p.sum(1, keepdims=True)
-        error = (p - truth)[of] * values[:, None] / len(rows)
-        grad = np.stack([np.bincount(columns, error[:, k], len(weights)) for k in range(classes)], 1) + ridge * weights
+        sums = np.zeros((classes, len(weights)))
+        for own, columns, values, sizes in blocks:
+            columns, values = columns.astype(np.intp), values.astype(float)
+            score = np.add.reduceat(weights[columns] * values[:, None], np.cumsum(sizes) - sizes)
+            p = np.exp(score - score.max(1, keepdims=True))
+            p /= p.sum(1, keepdims=True)
+            error = np.repeat(p - truth[own], sizes, 0) * values[:, None] / len(rows)
+            for k in range(classes):
+                np.add.at(sums[k], columns, error[:, k])
+        grad = sums.T + ridge * weights
         first, second = 0.9 * first + 0.1 * grad, 0.99 * second + 0.01 * grad * grad
         weights -= 0.3 * (first / (1 - 0.9**t)) / (np.sqrt(second / (1 - 0.99**t)) + 1e-8)
     return weights
@@ -140,26 +155,48 @@ def domain_totals(members: DataFrame, keep: dict[str, float]) -> np.ndarray:
     return token_totals(members.withColumn("tokens", F.col("tokens") * share))
 
 
+def _round_sums(steps: list[np.ndarray], max_rate: float | None):
+    """One row a task: tokens, expected tokens of each domain at the rates, and the curvature over the documents inside their bounds (all before the first step)."""
+    k = len(DOMAINS)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = []
+        for batch in batches:
+            tokens, *p = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+            rate = np.ones(len(tokens))
+            for step in steps:  # as _rate
+                rate = np.maximum(0.0, rate - sum((p[i] * float(u) for i, u in enumerate(step)), 0.0))
+                if max_rate is not None:
+                    rate = np.minimum(float(max_rate), rate)
+            inside = (rate > 0) & (rate < (np.inf if max_rate is None else max_rate)) if steps else np.ones(len(tokens), bool)
+            held = np.where(inside, tokens, 0)
+            sums.append([tokens.sum(), *((tokens * rate * p[i]).sum() for i in range(k)), *((held * p[i] * p[j]).sum() for i in range(k) for j in range(k))])
+        if sums:
+            yield pa.RecordBatch.from_arrays([pa.array([np.sum(sums, 0).tolist()], pa.list_(pa.float64()))], names=["sums"])
+
+    return run
+
+
 def fit_rates(members: DataFrame, target: np.ndarray, max_rate: float | None = None, rounds: int = 40, tolerance: float = 1e-5) -> tuple[Column, float]:
-    """The rate as an expression over tokens and p0.. of ``members`` and the residual: the largest difference from the targeted token totals, as a share of all tokens."""
+    """The rate as an expression over tokens and p0.. of ``members`` and the residual: the largest difference from the targeted token totals, as a share of all tokens.
+
+    A round's steps are data of one plan: as expressions each round would be a longer plan, compiled anew on the driver.
+    """
     k = len(DOMAINS)
+    own = members.select("tokens", *[f"p{i}" for i in range(k)])
     steps: list[np.ndarray] = []
     best, residual = (float("inf"), 0, 0.0), 0.0  # squared distance, steps, residual
     for turn in range(rounds + 1):
-        rate = F.col("rate")
-        inside = (rate > 0) & (rate < F.lit(float("inf") if max_rate is None else float(max_rate)))
-        cells = [F.sum(F.col("tokens") * rate * F.col(f"p{i}")).alias(f"s{i}") for i in range(k)]
-        cells += [F.sum(F.when(inside | F.lit(not steps), F.col("tokens") * F.col(f"p{i}") * F.col(f"p{j}"))).alias(f"h{i}{j}") for i in range(k) for j in range(i + 1)]
-        got = members.withColumn("rate", _rate(steps, max_rate)).agg(F.sum("tokens").alias("n"), *cells).first()
-        n = float(got.n or 0)
+        got = own.mapInArrow(_round_sums(steps, max_rate), "sums array<double>").collect()
+        n, *sums = map(math.fsum, zip(*(r.sums for r in got), strict=True)) if got else [0.0]
         if not n:
             break
-        error = np.array([got[f"s{i}"] for i in range(k)]) / n - target / n
+        error = np.array(sums[:k]) / n - target / n
         residual = float(np.abs(error).max())
         best = min(best, (float(error @ error), len(steps), residual))
         if residual < tolerance or turn == rounds:
             break
-        curve = np.array([[(got[f"h{max(i, j)}{min(i, j)}"] or 0.0) / n for j in range(k)] for i in range(k)])
+        curve = np.array(sums[k:]).reshape(k, k) / n
         steps.append(np.linalg.solve(curve + np.eye(k) * (1e-3 + 1e-2 * np.trace(curve) / k), error))
     return _rate(steps[: best[1]], max_rate), best[2]
 

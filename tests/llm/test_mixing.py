@@ -1,6 +1,7 @@
 """Mixing rates against targets and a plain solver."""
 
 import random
+import tracemalloc
 import warnings
 
 import numpy as np
@@ -80,3 +81,47 @@ def test_stage_keeps_columns_and_warns_of_what_it_cannot_reach(spark, empty):
     assert sum(i % 4 == 0 for i in kept if i is not None) <= 1 and sum(i % 4 != 0 for i in kept if i is not None) >= 60
     assert mixing.mixed(spark, empty, labels, {"good": 1.0, "poor": 1.0, "toxic": 0.0}).count() == 0
     assert mixing.mixing_rates(spark, docs, labels.limit(0), mixing.QUERY_WEIGHTS).count() == 82
+
+
+def whole_fit(rows, labels, classes, rounds, ridge=1e-5):
+    """``fit_softmax`` with all products made at once."""
+    weights = np.zeros((mixing.WIDTH + 5, classes))
+    columns = np.concatenate([np.append(c, mixing.WIDTH + 4) for c, _ in rows])
+    values = np.concatenate([np.append(v, 1.0) for _, v in rows])
+    sizes = np.array([len(c) + 1 for c, _ in rows])
+    first, second = np.zeros_like(weights), np.zeros_like(weights)
+    for t in range(1, rounds + 1):
+        score = np.add.reduceat(weights[columns] * values[:, None], np.cumsum(sizes) - sizes)
+        p = np.exp(score - score.max(1, keepdims=True))
+        p /= p.sum(1, keepdims=True)
+        error = np.repeat(p - np.eye(classes)[labels], sizes, 0) * values[:, None] / len(rows)
+        grad = np.stack([np.bincount(columns, error[:, k], len(weights)) for k in range(classes)], 1) + ridge * weights
+        first, second = 0.9 * first + 0.1 * grad, 0.99 * second + 0.01 * grad * grad
+        weights -= 0.3 * (first / (1 - 0.9**t)) / (np.sqrt(second / (1 - 0.99**t)) + 1e-8)
+    return weights
+
+
+def test_fit_holds_products_of_a_block_only():
+    rng = np.random.default_rng(10)
+    rows = []
+    for _ in range(2000):
+        columns = np.unique(rng.integers(0, mixing.WIDTH, rng.integers(1, 600))).astype("<i4")
+        rows.append((columns, rng.random(len(columns)).astype("<f4")))
+    labels = rng.integers(0, 3, len(rows))
+    expected = whole_fit(rows, labels, 3, 3)
+    tracemalloc.start()
+    got = mixing.fit_softmax(rows, labels, 3, 3)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert np.allclose(got, expected, rtol=1e-9, atol=1e-12)
+    assert peak < 25e6  # all at once: over 60 MB
+    assert np.allclose(mixing.fit_softmax(rows[:50], labels[:50], 3, 3, entries=1), whole_fit(rows[:50], labels[:50], 3, 3), rtol=1e-9, atol=1e-12)
+
+
+def test_rounds_compile_no_plan_of_their_own(spark):
+    rng = np.random.default_rng(11)
+    members = spark.createDataFrame([(100, *map(float, x)) for x in rng.dirichlet([0.3, 0.2, 0.1], 100)], "tokens long, p0 double, p1 double, p2 double")
+    compiled = spark._jvm.org.apache.spark.metrics.source.CodegenMetrics.METRIC_COMPILATION_TIME()
+    before = compiled.getCount()
+    mixing.fit_rates(members, np.array([0.0, 0.0, 30_000.0]), 1.0)  # out of reach: all rounds
+    assert compiled.getCount() - before < 20  # one or two for each of the 41 rounds before
